@@ -226,8 +226,14 @@ def fit_imputation(df: DataFrame) -> Imputation:
 def apply_imputation(df: DataFrame, imp: Imputation) -> DataFrame:
     fills = {}
     for c, v in imp.medians.items():
-        if v is not None:
-            fills[c] = F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
+        if v is None:
+            continue
+        dt = df.schema[c].dataType
+        if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)) or float(v) != int(v):
+            # a fractional median turns an integral column into a double one, as a float fill would
+            fills[c] = F.coalesce(F.col(c).cast("double"), F.lit(float(v)))
+        else:
+            fills[c] = F.coalesce(F.col(c), F.lit(int(v)).cast(dt))
     for c, v in imp.modes.items():
         if v is not None:
             fills[c] = F.coalesce(F.col(c), F.lit(v))
