@@ -86,4 +86,4 @@ def q_service_segments(spark, sf):
 
 
 def _load_all():
-    from . import registry_monitor, registry_more  # noqa: F401  (register the remaining queries)
+    from . import registry_models, registry_monitor, registry_more  # noqa: F401  (register the rest)
