@@ -2,16 +2,16 @@
 
 * Logistic models: exact additive attribution in log-odds space, coef_j * (x_j - mean_j), with the
   base value the log-odds at the feature means; a pure projection.
-* Any model (trees included): sampled Shapley values (Strumbelj and Kononenko, 2014). For each
-  row, ``n_samples`` (permutation, background row) pairs are drawn from seeded hashes; along a
-  permutation the row's values replace the background's one feature at a time, and each step's
-  change in class-1 probability is credited to the feature that moved. The steps telescope, so
-  per row sum(phi) + base = probability exactly, with base = mean probability of the drawn
-  background rows.
+* Any model (trees included): sampled Shapley values (Strumbelj and Kononenko, 2014). Every row
+  is paired with every background row, ``perms`` times, each time with a permutation drawn from
+  a seeded hash; along a permutation the row's values replace the background's one feature at a
+  time, and each step's change in class-1 probability is credited to the feature that moved.
+  The steps telescope, so per row sum(phi) + base = probability exactly, where base is the mean
+  probability over the background (the same for every row, like an explainer's expected value).
 
 All instances are generated with ``explode`` inside Spark and scored by ``model.transform`` in
 bulk; the background sample has a fixed size (it is broadcast), the work per row is
-n_samples x (features + 1) model evaluations, and every row is explained.
+background x perms x (features + 1) model evaluations, and every row is explained.
 """
 
 from __future__ import annotations
@@ -34,28 +34,39 @@ def linear_attribution(df: DataFrame, features: list[str], coefs: list[float], i
     return df.select(id_col, F.lit(base).alias("base_value"), arr.alias("attributions"))
 
 
-def sampled_shapley(model, rows: DataFrame, background: DataFrame, features: list[str], n_samples: int = 16,
-                    seed: int = 42, id_col: str = S.ID) -> DataFrame:
+def sampled_shapley(model, rows: DataFrame, background: DataFrame, features: list[str], perms: int = 1,
+                    seed: int = 42, id_col: str = S.ID, max_background: int = 1000) -> DataFrame:
     """(id, probability, base_value, attributions) for every row of ``rows``.
 
-    ``background`` is a bounded sample (e.g. ``sampling.sample_n(ref, 100)``); it is numbered and
-    broadcast.
+    ``background`` is a bounded sample (e.g. ``sampling.sample_n(ref, 100)``, at most
+    ``max_background`` rows, checked); it is embedded in the plan as a literal array and exploded
+    next to each row, so no join is involved.
     """
     d = len(features)
-    bg = background.select(*[F.col(f).cast("double").alias(f) for f in features])
-    bg = bg.withColumn("__bg", F.row_number().over(Window.orderBy(*features)) - 1)  # bounded sample only
-    n_bg = bg.count()
-    z = F.broadcast(bg.select("__bg", F.struct(*features).alias("z")))
+    bg_rows = background.select(*[F.col(f).cast("double").alias(f) for f in features]) \
+        .limit(max_background + 1).collect()
+    if len(bg_rows) > max_background:
+        raise ValueError(f"background holds more than {max_background} rows; pass a bounded sample")
+    z_arr = F.array(*[F.struct(F.lit(i).alias("__bg"), *[F.lit(r[f]).cast("double").alias(f) for f in features])
+                      for i, r in enumerate(bg_rows)])
     x = rows.select(F.col(id_col), F.struct(*[F.col(f).cast("double").alias(f) for f in features]).alias("x"))
-    s = x.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
-    s = s.withColumn("__bg", F.pmod(F.xxhash64(F.col(id_col), F.col("sample"), F.lit(seed)), F.lit(n_bg)))
-    s = s.join(z, "__bg")
+    # every row meets every background row ``perms`` times
+    s = x.withColumn("z", F.explode(z_arr)).withColumn("__p", F.explode(F.sequence(F.lit(0), F.lit(perms - 1))))
+    s = s.withColumn("sample", F.col("z.__bg") * F.lit(perms) + F.col("__p")).drop("__p")
+    # the fan-out is background x perms x (features + 1) rows per input row: spread it over
+    # proportionally more tasks (an explicit count, which adaptive execution does not merge away)
+    fan = len(bg_rows) * perms
+    n_parts = max(rows.sparkSession.sparkContext.defaultParallelism,
+                  rows.rdd.getNumPartitions() * -(-fan // 8))
+    s = s.repartition(n_parts, F.col(id_col), F.col("sample"))
     keyed = F.transform(F.sequence(F.lit(0), F.lit(d - 1)),
                         lambda j: F.struct(F.xxhash64(F.col(id_col), F.col("sample"), j, F.lit(seed + 1)).alias("h"),
                                            j.alias("j")))
     s = s.withColumn("perm", F.transform(F.array_sort(keyed), lambda t: t["j"]))
+    # 1-based position of each feature in the permutation, once per (row, sample)
+    s = s.withColumn("pos", F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda k: F.array_position("perm", k)))
     s = s.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(d))))
-    inst = {f: F.when(F.array_position("perm", F.lit(k)) <= F.col("step"), F.col(f"x.{f}"))
+    inst = {f: F.when(F.col("pos")[k] <= F.col("step"), F.col(f"x.{f}"))
             .otherwise(F.col(f"z.{f}")) for k, f in enumerate(features)}
     s = s.select(id_col, "sample", "step", "perm", *[v.alias(f) for f, v in inst.items()])
     scored = model.transform(s.withColumn("label", F.lit(0.0)))
@@ -65,7 +76,7 @@ def sampled_shapley(model, rows: DataFrame, background: DataFrame, features: lis
     names = F.array(*[F.lit(f) for f in features])
     moved = p.where(F.col("step") > 0).select(
         id_col, F.element_at(names, F.element_at("perm", F.col("step")) + 1).alias("feature"), "delta")
-    phi = moved.groupBy(id_col, "feature").agg((F.sum("delta") / F.lit(n_samples)).alias("shap_value"))
+    phi = moved.groupBy(id_col, "feature").agg(F.avg("delta").alias("shap_value"))
     ends = p.groupBy(id_col).agg(
         F.avg(F.when(F.col("step") == 0, F.col("p"))).alias("base_value"),
         F.avg(F.when(F.col("step") == d, F.col("p"))).alias("probability"))

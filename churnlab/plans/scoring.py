@@ -29,7 +29,7 @@ def prepare_requests(requests: DataFrame, stats: FeatureStats, features: list[st
 
 
 def score_requests(model, requests: DataFrame, stats: FeatureStats, features: list[str],
-                   background: DataFrame | None = None, n_samples: int = 16, top: int = 6,
+                   background: DataFrame | None = None, perms: int = 1, top: int = 6,
                    seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(results, rejects). Results: id, churn_probability, churn_prediction, base_value,
     top_shap_features (6 entries) - all rounded to 4 places."""
@@ -37,7 +37,7 @@ def score_requests(model, requests: DataFrame, stats: FeatureStats, features: li
     scored = MD.score(model, aligned.withColumn(S.LABEL, F.lit(0)))
     out = scored.select(S.ID, "churn_probability", "churn_prediction")
     if background is not None:
-        attr = AT.sampled_shapley(model, aligned, background, features, n_samples, seed)
+        attr = AT.sampled_shapley(model, aligned, background, features, perms, seed)
         attr = AT.top_attributions(attr, top).select(S.ID, "base_value", "top_shap_features")
         out = out.join(attr, S.ID, "left")
     else:

@@ -85,11 +85,12 @@ def q_knn(spark, sf):
 
 @register("sampled_attribution")
 def q_attribution(spark, sf):
-    """T20 + K2: sampled Shapley attributions of the forest for every test row, top 6 rounded."""
+    """T20 + K2: sampled Shapley attributions of the forest for every test row (100 background
+    rows, as the original explainer), top 6 rounded."""
     train, test = _split(spark, sf)
     m = _forest(train)
     bg = SP.sample_n(train, 100)
-    attr = AT.sampled_shapley(m, test, bg, MODEL_FEATURES, n_samples=8)
+    attr = AT.sampled_shapley(m, test, bg, MODEL_FEATURES)
     return AT.top_attributions(attr).select(S.ID, F.round("probability", 4).alias("churn_probability"),
                                             F.round("base_value", 4).alias("base_value"), "top_shap_features")
 
@@ -99,7 +100,7 @@ def q_global_attribution(spark, sf):
     """Mean |attribution| per feature over the test rows, top 8."""
     train, test = _split(spark, sf)
     m = _forest(train)
-    attr = AT.sampled_shapley(m, test, SP.sample_n(train, 100), MODEL_FEATURES, n_samples=8)
+    attr = AT.sampled_shapley(m, test, SP.sample_n(train, 100), MODEL_FEATURES)
     return AT.global_attribution(attr, 8)
 
 
