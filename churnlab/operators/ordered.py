@@ -92,7 +92,8 @@ def ks_2samp(ref: DataFrame, new: DataFrame, cols: list[str], with_p: bool = Tru
     c = prefix_sums(d, ["feature"], "value", ["a", "b"])
     n = d.groupBy("feature").agg(F.sum("a").alias("n_ref"), F.sum("b").alias("n_new"))
     c = c.join(F.broadcast(n), "feature")
-    gap = F.abs(F.col("cum_a") / F.col("n_ref") - F.col("cum_b") / F.col("n_new"))
+    # an empty side leaves the statistic undefined (NULL), not an error
+    gap = F.abs(F.try_divide(F.col("cum_a"), F.col("n_ref")) - F.try_divide(F.col("cum_b"), F.col("n_new")))
     out = c.groupBy("feature").agg(F.max(gap).alias("ks_statistic"),
                                    F.first("n_ref").alias("n_ref"), F.first("n_new").alias("n_new"))
     out = out.select("feature", F.round("ks_statistic", 6).alias("ks_statistic"),

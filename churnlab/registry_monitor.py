@@ -139,8 +139,8 @@ def _ks_rows_sql(kind="drift"):
 
 def _ks_with_p_sql():
     base = _ks_rows_sql("drift")
-    return base.replace("  SELECT feature, ROUND(MAX(ABS(ca / na - cb / nb)), 6) AS ks_statistic",
-                        "  , ks AS (SELECT feature, ROUND(MAX(ABS(ca / na - cb / nb)), 6) AS ks_statistic") \
+    return base.replace("  SELECT feature, ROUND(MAX(ABS(ca / NULLIF(na, 0) - cb / NULLIF(nb, 0))), 6) AS ks_statistic",
+                        "  , ks AS (SELECT feature, ROUND(MAX(ABS(ca / NULLIF(na, 0) - cb / NULLIF(nb, 0))), 6) AS ks_statistic") \
         .rstrip() + ")"
 
 
@@ -262,7 +262,7 @@ def q_reference_profile(spark, sf):
           FROM scored GROUP BY 1),
   c AS (SELECT SUM(a) OVER (ORDER BY value) AS ca, SUM(b) OVER (ORDER BY value) AS cb,
                SUM(a) OVER () AS na, SUM(b) OVER () AS nb FROM d)
-  SELECT ROUND(MAX(ABS(ca / na - cb / nb)), 6) AS ks_statistic,
+  SELECT ROUND(MAX(ABS(ca / NULLIF(na, 0) - cb / NULLIF(nb, 0))), 6) AS ks_statistic,
     (SELECT ROUND(AVG(p1), 6) FROM scored WHERE account_length >= 1800) AS mean_prediction_ref,
     (SELECT ROUND(AVG(p1), 6) FROM scored WHERE NOT (account_length >= 1800)) AS mean_prediction_new FROM c"""))
 def q_prediction_drift(spark, sf):

@@ -503,7 +503,7 @@ def _ks_sql(kind):
   c AS (SELECT feature, SUM(a) OVER (PARTITION BY feature ORDER BY value) AS ca,
                SUM(b) OVER (PARTITION BY feature ORDER BY value) AS cb,
                SUM(a) OVER (PARTITION BY feature) AS na, SUM(b) OVER (PARTITION BY feature) AS nb FROM d)
-  SELECT feature, ROUND(MAX(ABS(ca / na - cb / nb)), 6) AS ks_statistic, CAST(ANY_VALUE(na) AS BIGINT) AS n_ref,
+  SELECT feature, ROUND(MAX(ABS(ca / NULLIF(na, 0) - cb / NULLIF(nb, 0))), 6) AS ks_statistic, CAST(ANY_VALUE(na) AS BIGINT) AS n_ref,
          CAST(ANY_VALUE(nb) AS BIGINT) AS n_new FROM c GROUP BY feature""")
 
 

@@ -36,6 +36,8 @@ def stream_monitor(spark: SparkSession, source_dir: str, schema: T.StructType, s
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.format(fmt).load(source_dir)
+    # watermarks need TIMESTAMP; a zone-less source column is read as session-time (UTC) instants
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     agg = window_counts(events.withWatermark("ts", watermark), window)
     return (agg.writeStream.outputMode("append").format("parquet")
             .option("path", sink_dir).option("checkpointLocation", checkpoint_dir).start())
