@@ -3,8 +3,8 @@
 * Logistic models: exact additive attribution in log-odds space, coef_j * (x_j - mean_j), with the
   base value the log-odds at the feature means; a pure projection.
 * Any model (trees included): sampled Shapley values (Strumbelj and Kononenko, 2014). Every row
-  is paired with every background row, ``perms`` times, each time with a permutation drawn from
-  a seeded hash; along a permutation the row's values replace the background's one feature at a
+  is paired with every background row, ``perms`` times, each time with a seeded random
+  permutation (the same sample set for every row); along a permutation the row's values replace the background's one feature at a
   time, and each step's change in class-1 probability is credited to the feature that moved.
   The steps telescope, so per row sum(phi) + base = probability exactly, where base is the mean
   probability over the background (the same for every row, like an explainer's expected value).
@@ -16,9 +16,13 @@ background x perms x (features + 1) model evaluations, and every row is explaine
 
 from __future__ import annotations
 
+import json
+
+import numpy as np
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from .profile import top_k, top_k_per_row
@@ -47,41 +51,60 @@ def sampled_shapley(model, rows: DataFrame, background: DataFrame, features: lis
         .limit(max_background + 1).collect()
     if len(bg_rows) > max_background:
         raise ValueError(f"background holds more than {max_background} rows; pass a bounded sample")
-    z_arr = F.array(*[F.struct(F.lit(i).alias("__bg"), *[F.lit(r[f]).cast("double").alias(f) for f in features])
-                      for i, r in enumerate(bg_rows)])
+    # (background row, permutation) samples, drawn once from the seed and shared by every row;
+    # positions are precomputed, so the per-row work has no higher-order functions
+    rng = np.random.RandomState(seed)
+    samples = []
+    for i, r in enumerate(bg_rows):
+        for _ in range(perms):
+            perm = rng.permutation(d)
+            pos = np.empty(d, dtype=int)
+            pos[perm] = np.arange(1, d + 1)
+            samples.append(dict({"perm": [int(v) for v in perm], "pos": [int(v) for v in pos]},
+                                **{f: r[f] for f in features}))
+    # one JSON literal (constant-folded once by the optimizer) instead of one literal per value
+    z_type = T.ArrayType(T.StructType([T.StructField("perm", T.ArrayType(T.IntegerType())),
+                                       T.StructField("pos", T.ArrayType(T.IntegerType()))] +
+                                      [T.StructField(f, T.DoubleType()) for f in features]))
+    z_arr = F.from_json(F.lit(json.dumps(samples)), z_type)
     x = rows.select(F.col(id_col), F.struct(*[F.col(f).cast("double").alias(f) for f in features]).alias("x"))
-    # every row meets every background row ``perms`` times
-    s = x.withColumn("z", F.explode(z_arr)).withColumn("__p", F.explode(F.sequence(F.lit(0), F.lit(perms - 1))))
-    s = s.withColumn("sample", F.col("z.__bg") * F.lit(perms) + F.col("__p")).drop("__p")
+    s = x.withColumn("z", F.explode(z_arr)).withColumns({"perm": F.col("z.perm"), "pos": F.col("z.pos")})
     # the fan-out is background x perms x (features + 1) rows per input row: spread it over
-    # proportionally more tasks (an explicit count, which adaptive execution does not merge away)
-    fan = len(bg_rows) * perms
+    # proportionally more tasks (an explicit count, which adaptive execution does not merge away).
+    # Hash-partitioning by the row id alone also satisfies both aggregates below, so no further
+    # shuffle follows; one row's instances are bounded by the fan-out.
     n_parts = max(rows.sparkSession.sparkContext.defaultParallelism,
-                  rows.rdd.getNumPartitions() * -(-fan // 8))
-    s = s.repartition(n_parts, F.col(id_col), F.col("sample"))
-    keyed = F.transform(F.sequence(F.lit(0), F.lit(d - 1)),
-                        lambda j: F.struct(F.xxhash64(F.col(id_col), F.col("sample"), j, F.lit(seed + 1)).alias("h"),
-                                           j.alias("j")))
-    s = s.withColumn("perm", F.transform(F.array_sort(keyed), lambda t: t["j"]))
-    # 1-based position of each feature in the permutation, once per (row, sample)
-    s = s.withColumn("pos", F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda k: F.array_position("perm", k)))
+                  rows.rdd.getNumPartitions() * -(-len(samples) // 8))
+    s = s.repartition(n_parts, F.col(id_col))
     s = s.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(d))))
     inst = {f: F.when(F.col("pos")[k] <= F.col("step"), F.col(f"x.{f}"))
             .otherwise(F.col(f"z.{f}")) for k, f in enumerate(features)}
-    s = s.select(id_col, "sample", "step", "perm", *[v.alias(f) for f, v in inst.items()])
+    # the feature that entered at this step, and the one that enters at the next
+    moved_in = F.when(F.col("step") > 0, F.element_at("perm", F.greatest(F.col("step"), F.lit(1))))
+    moved_next = F.when(F.col("step") < d, F.element_at("perm", F.least(F.col("step") + 1, F.lit(d))))
+    s = s.select(id_col, "step", moved_in.alias("m_in"), moved_next.alias("m_next"),
+                 *[v.alias(f) for f, v in inst.items()])
     scored = model.transform(s.withColumn("label", F.lit(0.0)))
-    p = scored.select(id_col, "sample", "step", "perm", vector_to_array("probability")[1].alias("p"))
-    w = Window.partitionBy(id_col, "sample").orderBy("step")
-    p = p.withColumn("delta", F.col("p") - F.lag("p").over(w))
+    p = scored.select(id_col, "step", "m_in", "m_next", vector_to_array("probability")[1].alias("p"))
+    # phi_j = mean over samples of p(after j enters) - p(before j enters): each instance adds +p to
+    # the feature that just entered and -p to the one entering next, so a grouped sum replaces a
+    # window over the steps (no sort of the instances)
+    n_samples = len(samples)
     names = F.array(*[F.lit(f) for f in features])
-    moved = p.where(F.col("step") > 0).select(
-        id_col, F.element_at(names, F.element_at("perm", F.col("step")) + 1).alias("feature"), "delta")
-    phi = moved.groupBy(id_col, "feature").agg(F.avg("delta").alias("shap_value"))
-    ends = p.groupBy(id_col).agg(
-        F.avg(F.when(F.col("step") == 0, F.col("p"))).alias("base_value"),
-        F.avg(F.when(F.col("step") == d, F.col("p"))).alias("probability"))
-    arr = phi.groupBy(id_col).agg(F.collect_list(F.struct("feature", "shap_value")).alias("attributions"))
-    return ends.join(arr, id_col)
+    # keys: feature index (>= 0), -1 = base (all-background instance), -2 = the row's own probability
+    parts = F.filter(F.array(F.struct(F.col("m_in").alias("j"), F.col("p").alias("v")),
+                             F.struct(F.col("m_next").alias("j"), (-F.col("p")).alias("v")),
+                             F.struct(F.when(F.col("step") == 0, F.lit(-1)).alias("j"), F.col("p").alias("v")),
+                             F.struct(F.when(F.col("step") == d, F.lit(-2)).alias("j"), F.col("p").alias("v"))),
+                     lambda t: t["j"].isNotNull())
+    contrib = p.select(id_col, F.explode(parts).alias("c")).select(id_col, F.col("c.j").alias("j"), F.col("c.v").alias("v"))
+    g = contrib.groupBy(id_col, "j").agg((F.sum("v") / F.lit(n_samples)).alias("val"))
+    # both aggregates are keyed by the row id, which the instances are already partitioned by
+    return g.groupBy(id_col).agg(
+        F.max(F.when(F.col("j") == -1, F.col("val"))).alias("base_value"),
+        F.max(F.when(F.col("j") == -2, F.col("val"))).alias("probability"),
+        F.collect_list(F.when(F.col("j") >= 0, F.struct(F.element_at(names, F.col("j") + 1).alias("feature"),
+                                                        F.col("val").alias("shap_value")))).alias("attributions"))
 
 
 def top_attributions(attr: DataFrame, k: int = 6, digits: int = 4) -> DataFrame:

@@ -17,6 +17,7 @@ from .operators import ordered as W
 from .operators import profile as P
 from .operators import stats as Q
 from .registry import cleaned, features, register, usage
+from .session import checkpoint
 from .sources import fixture as FX
 
 W_ = O.with_blocks
@@ -34,7 +35,8 @@ def _r(c: str, d: int = 6):
 
 
 def _dirty(spark, sf):
-    return FX.dirty_customer_usage(spark, sf)
+    """Dirty fixture variant, checkpointed once (cleaning reads it in several passes)."""
+    return checkpoint(FX.dirty_customer_usage(spark, sf))
 
 
 # ================================================================ fixture variants, cleaning
