@@ -205,22 +205,22 @@ class Imputation:
 def fit_imputation(df: DataFrame) -> Imputation:
     """C4+C5 fit: exact medians of numeric columns and the mode (smallest on ties) of strings.
 
-    Only columns that actually hold NULLs are filled, as in the original; all statistics come
-    from one aggregate.
+    Only columns that actually hold NULLs are filled, as in the original. A first aggregate
+    counts NULLs per column (cheap, fused into one scan); exact medians and modes are computed
+    only for the columns that need them, in one more aggregate, and not at all for a clean table.
     """
     num = columns_of_type(df, "numeric")
     txt = columns_of_type(df, "string")
-    aggs = [F.count_if(F.col(c).isNull()).alias(f"n__{c}") for c in num + txt]
-    aggs += [F.median(c).alias(f"m__{c}") for c in num]
-    aggs += [F.mode(c, True).alias(f"o__{c}") for c in txt]
-    if not aggs:
+    if not num + txt:
         return Imputation({}, {})
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in num + txt]).first().asDict()
+    need_num = [c for c in num if nulls[c] > 0]
+    need_txt = [c for c in txt if nulls[c] > 0]
+    if not need_num and not need_txt:
+        return Imputation({}, {})
+    aggs = [F.median(c).alias(f"m__{c}") for c in need_num] + [F.mode(c, True).alias(f"o__{c}") for c in need_txt]
     row = df.agg(*aggs).first().asDict()
-    # numeric medians are applied only when some numeric column has NULLs
-    any_num_null = any(row[f"n__{c}"] > 0 for c in num)
-    medians = {c: row[f"m__{c}"] for c in num if any_num_null and row[f"n__{c}"] > 0}
-    modes = {c: row[f"o__{c}"] for c in txt if row[f"n__{c}"] > 0}
-    return Imputation(medians, modes)
+    return Imputation({c: row[f"m__{c}"] for c in need_num}, {c: row[f"o__{c}"] for c in need_txt})
 
 
 def apply_imputation(df: DataFrame, imp: Imputation) -> DataFrame:
