@@ -234,7 +234,7 @@ def kde(df: DataFrame, cols: list[str], by: str = S.LABEL, grid: int = 100) -> D
     The data are first reduced to distinct (feature, class, value, count) rows (partial
     aggregation), so the work is grid x distinct values, never grid x rows. The grid is generated
     per (feature, class) from its min/max with ``sequence`` + ``explode`` inside Spark; the join
-    is an equi-join on (feature, class) against the small grid table.
+    is a broadcast equi-join on (feature, class) against that small grid table.
     """
     long = df.select(F.col(by).alias("cls"), *[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot("cls", cols, "feature", "value").where(F.col("value").isNotNull())
@@ -246,7 +246,9 @@ def kde(df: DataFrame, cols: list[str], by: str = S.LABEL, grid: int = 100) -> D
     g = stats.select("feature", "cls", "n", "bw",
                      F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"), "lo", "hi")
     g = g.withColumn("x", F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("i") / F.lit(grid - 1))
-    pairs = distinct.join(g, ["feature", "cls"])
+    # the grid holds features x classes x grid rows (bounded by parameters): broadcast it, so the
+    # distinct-value table is never shuffled onto the few (feature, class) keys
+    pairs = distinct.join(F.broadcast(g), ["feature", "cls"])
     z = (F.col("x") - F.col("value")) / F.col("bw")
     contrib = F.col("w") * F.exp(F.lit(-0.5) * z * z)
     out = pairs.where(F.col("bw") > 0).groupBy("feature", "cls", "i", "x").agg(
@@ -328,3 +330,13 @@ def merge_sources(*dfs: DataFrame) -> DataFrame:
     for d in dfs[1:]:
         out = out.unionByName(d, allowMissingColumns=True)
     return out
+
+
+def merge_training_data(original: DataFrame, batches: DataFrame, features: list[str],
+                        label: str = S.LABEL) -> DataFrame:
+    """The selected columns of the original table plus every conforming landed batch.
+
+    ``batches`` comes from ``io.read_batches`` (non-conforming batches are already skipped there).
+    """
+    cols = list(features) + [label]
+    return original.select(*cols).unionByName(batches.select(*cols))

@@ -113,3 +113,11 @@ def q_linear_attribution(spark, sf):
     means = train.agg(*[F.avg(c).alias(c) for c in MODEL_FEATURES]).first().asDict()
     attr = AT.linear_attribution(test, MODEL_FEATURES, coefs, b0, means)
     return AT.top_attributions(attr).select(S.ID, F.round("base_value", 4).alias("base_value"), "top_shap_features")
+
+
+@register("pair_sample")
+def q_pair_sample(spark, sf):
+    """A deterministic 1000-row class-tagged sample of four usage columns (a sampling operator)."""
+    from .operators import profile as P
+    return P.pair_sample(features(spark, sf), ["total_day_minutes", "total_eve_minutes",
+                                               "customer_service_calls", "total_intl_minutes"], 1000)

@@ -286,3 +286,30 @@ def q_event_windows(spark, sf):
   SELECT event_id, ts, user_id, event_type, value, props FROM events ORDER BY ts DESC, event_id DESC LIMIT 1""")
 def q_latest_event(spark, sf):
     return P.latest(spark.read.parquet(f"{sf}/events.parquet"), "ts")
+
+
+# ---------------------------------------------------------------- T22: two models' ROC on one test set
+
+@register("roc_by_model_standin", W_(_SCORED_SQL, """
+  , long AS (SELECT 'standin_a' AS model, p1 AS score, churn FROM scored
+             UNION ALL SELECT 'standin_b', p2, churn FROM scored),
+  t AS (SELECT model, score, COUNT_IF(churn = 1) AS pos, COUNT_IF(churn <> 1) AS neg FROM long GROUP BY ALL),
+  c AS (SELECT model, score, SUM(pos) OVER (PARTITION BY model ORDER BY score DESC) AS tps,
+               SUM(neg) OVER (PARTITION BY model ORDER BY score DESC) AS fps,
+               ROW_NUMBER() OVER (PARTITION BY model ORDER BY score DESC) AS idx,
+               SUM(pos) OVER (PARTITION BY model) AS P, SUM(neg) OVER (PARTITION BY model) AS N,
+               COUNT(*) OVER (PARTITION BY model) AS K FROM t),
+  d AS (SELECT *, LAG(tps) OVER (PARTITION BY model ORDER BY idx) AS tp0,
+               LEAD(tps) OVER (PARTITION BY model ORDER BY idx) AS tp2,
+               LAG(fps) OVER (PARTITION BY model ORDER BY idx) AS fp0,
+               LEAD(fps) OVER (PARTITION BY model ORDER BY idx) AS fp2 FROM c)
+  SELECT model, CAST(0 AS BIGINT) AS point, 0.0 AS fpr, 0.0 AS tpr, CAST('inf' AS DOUBLE) AS threshold
+  FROM (SELECT DISTINCT model FROM t)
+  UNION ALL
+  SELECT model, CAST(idx AS BIGINT), ROUND(fps / N, 6), ROUND(tps / P, 6), score FROM d
+  WHERE idx = 1 OR idx = K OR (fp2 - 2 * fps + fp0) <> 0 OR (tp2 - 2 * tps + tp0) <> 0"""))
+def q_roc_by_model(spark, sf):
+    f = features(spark, sf)
+    long = _scored(f, 1).select(F.lit("standin_a").alias("model"), "churn_probability", "label").unionByName(
+        _scored(f, 2).select(F.lit("standin_b").alias("model"), "churn_probability", "label"))
+    return W.roc_curve(long, "churn_probability", "label", keys=["model"])
