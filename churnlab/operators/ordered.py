@@ -4,9 +4,10 @@ A window ordered over a whole column runs in one task, and one partitioned by fe
 task per feature. ``prefix_sums`` instead works in two levels:
 
 1. the input is first reduced to one row per distinct (group, value) with integer counts;
-2. per group, ``percentile_approx`` picks bucket boundaries over the distinct values. They are
-   collected once (groups x buckets numbers) and applied as literals, so the bucket of a value
-   is the same on every retry;
+2. per group, ``percentile_approx`` picks bucket boundaries over the distinct values; the bucket
+   count grows with the group (about a million rows per bucket). They are collected once
+   (groups x buckets numbers) and broadcast back as a fixed relation, so the bucket of a value
+   is the same in every branch and on every retry; a binary search finds it;
 3. a running sum runs inside each (group, bucket) window, i.e. in many small tasks;
 4. bucket totals (groups x buckets rows) give each bucket its offset, joined back by broadcast.
 
@@ -15,8 +16,11 @@ Counts are integers, so the sums are exact and independent of the boundaries cho
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.pvalues import p_ks
 
@@ -30,34 +34,53 @@ def _group_key(keys: list[str]) -> Column:
     return F.concat_ws(_SEP, *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
 
 
+def lower_bound(arr: Column, v: Column, length: int) -> Column:
+    """Number of entries of the sorted array ``arr`` that are < ``v`` (binary search, O(log n))."""
+    steps = max(1, int(math.ceil(math.log2(length + 1))) + 1)
+    init = F.struct(F.lit(0).alias("lo"), F.size(arr).alias("hi"))
+
+    def step(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        go_right = (acc["lo"] < acc["hi"]) & (F.element_at(arr, mid + 1) < v)
+        go_left = (acc["lo"] < acc["hi"]) & ~(F.element_at(arr, mid + 1) < v)
+        return F.struct(F.when(go_right, mid + 1).otherwise(acc["lo"]).alias("lo"),
+                        F.when(go_left, mid).otherwise(acc["hi"]).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
 def prefix_sums(df: DataFrame, keys: list[str], order: str, cols: list[str], descending: bool = False,
-                n_buckets: int = N_BUCKETS, prefix: str = "cum_", tiebreak: list[str] | None = None) -> DataFrame:
+                n_buckets: int | None = None, prefix: str = "cum_", tiebreak: list[str] | None = None,
+                rows_per_bucket: int = 1_000_000, max_total_bounds: int = 200_000) -> DataFrame:
     """Inclusive running sums of ``cols`` over ``order`` within ``keys``.
 
     ``df`` must hold one row per (keys, order, *tiebreak) value (aggregate first). Buckets follow
     ``order`` alone, so rows tied on it share a bucket and ``tiebreak`` orders them there.
-    Adds ``prefix+col``.
+    The bucket count grows with the largest group (about ``rows_per_bucket`` rows per window
+    task, at least ``N_BUCKETS``), capped so all boundaries together stay below
+    ``max_total_bounds`` values. Adds ``prefix+col``.
     """
     ordv = F.col(order)
     sort_v = -ordv if descending else ordv
     gk = _group_key(keys)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds_rows = (df.select(gk.alias("__g"), sort_v.alias("__v"))
-                   .groupBy("__g").agg(F.percentile_approx("__v", probs, 10000).alias("b")).collect())
-    # literal boundaries: groups x (n_buckets - 1) numbers, known at plan time
-    dtype = df.select(sort_v.alias("__v")).schema["__v"].dataType.simpleString()
-    bmap = {r["__g"]: sorted(set(x for x in (r["b"] or []) if x is not None)) for r in bounds_rows}
-    if len(bmap) == 1:
-        (only,) = bmap.values()
-        arr = F.array(*[F.lit(x) for x in only]) if only else F.array().cast(f"array<{dtype}>")
-    else:
-        flat = []
-        for g, bs in bmap.items():
-            flat += [F.lit(g), F.array(*[F.lit(x) for x in bs]).cast(f"array<{dtype}>") if bs
-                     else F.array().cast(f"array<{dtype}>")]
-        arr = F.coalesce(F.element_at(F.create_map(*flat), gk), F.array().cast(f"array<{dtype}>"))
     x = df.withColumns({"__g": gk, "__sv": sort_v})
-    x = x.withColumn("__bucket", F.size(F.filter(arr, lambda b: b < F.col("__sv"))))
+    sizes = [r[1] for r in x.groupBy("__g").count().collect()]
+    n_groups = max(1, len(sizes))
+    if n_buckets is None:
+        want = max(N_BUCKETS, -(-max(sizes or [0]) // rows_per_bucket))
+        n_buckets = max(2, min(want, max(N_BUCKETS, max_total_bounds // n_groups)))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    accuracy = max(10000, 10 * n_buckets)
+    dtype = x.schema["__sv"].dataType
+    rows = x.groupBy("__g").agg(F.percentile_approx("__sv", probs, accuracy).alias("__b")).collect()
+    # boundaries are collected once (groups x buckets values) and shipped back as a fixed
+    # relation, so every branch and every retry assigns the same bucket to a value
+    bounds = [(r["__g"], sorted(set(v for v in (r["__b"] or []) if v is not None))) for r in rows]
+    longest = max([len(b) for _, b in bounds] or [0])
+    bdf = x.sparkSession.createDataFrame(
+        bounds, T.StructType([T.StructField("__g", T.StringType()), T.StructField("__b", T.ArrayType(dtype))]))
+    x = x.join(F.broadcast(bdf), "__g")
+    x = x.withColumn("__bucket", lower_bound(F.col("__b"), F.col("__sv"), longest)).drop("__b")
     w = (Window.partitionBy("__g", "__bucket").orderBy("__sv", *(tiebreak or []))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = x.withColumns({f"__in_{c}": F.sum(c).over(w) for c in cols})
@@ -65,6 +88,7 @@ def prefix_sums(df: DataFrame, keys: list[str], order: str, cols: list[str], des
     wb = Window.partitionBy("__g").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__g", "__bucket", *[
         F.coalesce(F.sum(f"__t_{c}").over(wb), F.lit(0)).alias(f"__o_{c}") for c in cols])
+    # offsets hold one row per (group, bucket): bounded by max_total_bounds
     x = x.join(F.broadcast(offsets), ["__g", "__bucket"])
     x = x.withColumns({f"{prefix}{c}": F.col(f"__in_{c}") + F.col(f"__o_{c}") for c in cols})
     return x.drop("__g", "__sv", "__bucket", *[f"__in_{c}" for c in cols], *[f"__o_{c}" for c in cols])

@@ -105,3 +105,17 @@ def test_roc_curve_drops_collinear(spark):
     assert (fpr[-1], tpr[-1]) == (1.0, 1.0)
     assert len(pts) == 5  # threshold 0.7 lies on the segment from 0.8 to 0.6 and is dropped
     assert 0.7 not in [p["threshold"] for p in pts]
+
+
+def test_prefix_sums_many_buckets_binary_search(spark):
+    rng = np.random.RandomState(9)
+    pdf = pd.DataFrame({"g": rng.randint(0, 2, 4000), "v": rng.normal(size=4000)}).drop_duplicates(["g", "v"])
+    pdf["n"] = rng.randint(1, 5, len(pdf))
+    sdf = spark.createDataFrame(pdf)
+    out = W.prefix_sums(sdf, ["g"], "v", ["n"], rows_per_bucket=10).toPandas().sort_values(["g", "v"])
+    d = pdf.sort_values(["g", "v"])
+    assert (out["cum_n"].to_numpy() == d.groupby("g")["n"].cumsum().to_numpy()).all()
+    arr = F.array(*[F.lit(float(x)) for x in [1, 3, 3, 7]])
+    got = spark.createDataFrame([(v,) for v in [0.0, 1.0, 2.0, 3.0, 5.0, 7.0, 9.0]], "v double") \
+        .select(W.lower_bound(arr, F.col("v"), 4).alias("b")).collect()
+    assert [r["b"] for r in got] == [0, 0, 1, 1, 3, 3, 4]
