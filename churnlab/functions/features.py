@@ -54,17 +54,14 @@ def clipped_total_minutes(df: DataFrame) -> Column:
 
 
 def fit_feature_stats(df: DataFrame) -> FeatureStats:
-    """One aggregate pass; returns the two frame statistics (a single small row)."""
-    aggs = []
-    has_minutes = bool(_present(df, S.MINUTE_COLS))
-    if has_minutes:
-        aggs.append(F.max(clipped_total_minutes(df)).alias("mx"))
+    """The two frame statistics: the maximum (one aggregate) and an exact median (size-checked plan)."""
+    mx = md = None
+    if _present(df, S.MINUTE_COLS):
+        mx = df.agg(F.max(clipped_total_minutes(df))).first()[0]
     if "total_intl_minutes" in df.columns:
-        aggs.append(F.median("total_intl_minutes").alias("md"))
-    if not aggs:
-        return FeatureStats(None, None)
-    row = df.agg(*aggs).first().asDict()
-    return FeatureStats(row.get("mx"), row.get("md"))
+        from ..operators.ordered import column_quantiles  # exact median, size-checked plan
+        md = column_quantiles(df, ["total_intl_minutes"], [0.5])["total_intl_minutes"][0]
+    return FeatureStats(mx, md)
 
 
 def drop_matching(df: DataFrame, token: str) -> DataFrame:

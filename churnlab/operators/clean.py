@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.features import drop_matching, flag  # noqa: F401  (P1 lives with the features)
+from .ordered import column_quantiles, quantiles
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -218,9 +219,12 @@ def fit_imputation(df: DataFrame) -> Imputation:
     need_txt = [c for c in txt if nulls[c] > 0]
     if not need_num and not need_txt:
         return Imputation({}, {})
-    aggs = [F.median(c).alias(f"m__{c}") for c in need_num] + [F.mode(c, True).alias(f"o__{c}") for c in need_txt]
-    row = df.agg(*aggs).first().asDict()
-    return Imputation({c: row[f"m__{c}"] for c in need_num}, {c: row[f"o__{c}"] for c in need_txt})
+    medians = {c: q[0] for c, q in column_quantiles(df, need_num, [0.5]).items()}
+    modes = {}
+    if need_txt:
+        row = df.agg(*[F.mode(c, True).alias(f"o__{c}") for c in need_txt]).first().asDict()
+        modes = {c: row[f"o__{c}"] for c in need_txt}
+    return Imputation(medians, modes)
 
 
 def apply_imputation(df: DataFrame, imp: Imputation) -> DataFrame:
@@ -299,11 +303,13 @@ class IqrBounds:
 
 
 def fit_iqr(df: DataFrame, cols: list[str], factor: float = 1.5) -> IqrBounds:
-    """C9 fit: [q1 - f*iqr, q3 + f*iqr] from exact, linearly interpolated quartiles."""
-    row = df.agg(*[F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.75))).alias(c) for c in cols]).first()
+    """C9 fit: [q1 - f*iqr, q3 + f*iqr] from exact, linearly interpolated quartiles
+    (``ordered.column_quantiles``: in-memory percentile under a distinct-count check, else the
+    distributed prefix-sum form)."""
+    qs = column_quantiles(df, cols, [0.25, 0.75])
     out = {}
     for c in cols:
-        q = row[c]
+        q = qs[c]
         if q is None or q[0] is None:
             out[c] = (None, None)
             continue
@@ -332,9 +338,9 @@ def outlier_summary(df: DataFrame, cols: list[str], factor: float = 1.5) -> Data
     feature); the fences join back on the feature name (one row per feature).
     """
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "value")
-    q = long.groupBy("feature").agg(
-        F.percentile("value", F.lit(0.25)).alias("q1"),
-        F.percentile("value", F.lit(0.75)).alias("q3"))
+    q = quantiles(long, ["feature"], "value", [0.25, 0.75]).groupBy("feature").agg(
+        F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
+        F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
     q = q.withColumns({
         "lower": F.col("q1") - factor * (F.col("q3") - F.col("q1")),
         "upper": F.col("q3") + factor * (F.col("q3") - F.col("q1")),

@@ -204,32 +204,69 @@ def pr_curve(df: DataFrame, score: str, label: str, keys: list[str] | None = Non
                       F.round("recall", 6).alias("recall"), F.round("base_rate", 6).alias("base_rate"))
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles per feature from distinct-value counts.
+def exact_quantiles_long(long: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
+    """Exact, linearly interpolated quantiles of ``value`` per key group, from distinct-value counts.
 
-    The distributed alternative to ``percentile`` for columns with many distinct values: the
-    rank of each distinct value comes from ``prefix_sums``; the two order statistics around
-    each target rank are picked by a grouped min over rows whose running count reaches them.
-    Output: (feature, p, value).
+    The distributed form: distinct (keys, value) counts, their running counts by ``prefix_sums``,
+    and one grouped aggregate that picks, for every probability, the two order statistics around
+    the target rank (the smallest value whose running count exceeds the 0-based rank).
+    Output: keys..., p, value.
     """
+    d = long.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("__v")) \
+        .agg(F.count(F.lit(1)).alias("__n"))
+    c = prefix_sums(d, keys, "__v", ["__n"])
+    tot = d.groupBy(*keys).agg(F.sum("__n").alias("__total"))
+    jk = keys or ["__j"]
+    if not keys:
+        c, tot = c.withColumn("__j", F.lit(1)), tot.withColumn("__j", F.lit(1))
+    c = c.join(F.broadcast(tot), jk) if len(keys) <= 2 else c.join(tot, jk)
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = (F.col("__total") - 1) * F.lit(float(p))
+        aggs += [F.min(F.when(F.col("cum___n") > F.floor(pos), F.col("__v"))).alias(f"lo{i}"),
+                 F.min(F.when(F.col("cum___n") > F.ceil(pos), F.col("__v"))).alias(f"hi{i}"),
+                 F.max(pos - F.floor(pos)).alias(f"fr{i}")]
+    g = c.groupBy(*jk).agg(*aggs)
+    arr = F.array(*[F.struct(F.lit(float(p)).alias("p"),
+                             (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"fr{i}")).alias("value"))
+                    for i, p in enumerate(probs)])
+    return g.select(*keys, F.explode(arr).alias("q")).select(*keys, "q.p", "q.value")
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact quantiles per feature of a wide table: (feature, p, value)."""
     long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot([], cols, "feature", "value").where(F.col("value").isNotNull()))
-    d = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    c = prefix_sums(d, ["feature"], "value", ["n"])
-    tot = d.groupBy("feature").agg(F.sum("n").alias("total"))
-    c = c.join(F.broadcast(tot), "feature")
-    res = []
-    for p in probs:
-        pos = (F.col("total") - 1) * F.lit(float(p))  # 0-based fractional rank
-        lo_rank, hi_rank = F.floor(pos), F.ceil(pos)
-        # value at 0-based rank r is the smallest value whose running count exceeds r
-        g = c.groupBy("feature").agg(
-            F.min(F.when(F.col("cum_n") > lo_rank, F.col("value"))).alias("v_lo"),
-            F.min(F.when(F.col("cum_n") > hi_rank, F.col("value"))).alias("v_hi"),
-            F.first(pos - lo_rank).alias("frac"))
-        res.append(g.select("feature", F.lit(float(p)).alias("p"),
-                            (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value")))
-    out = res[0]
-    for r in res[1:]:
-        out = out.unionByName(r)
+            .unpivot([], cols, "feature", "value"))
+    return exact_quantiles_long(long, ["feature"], "value", probs)
+
+
+def quantiles(long: DataFrame, keys: list[str], value: str, probs: list[float],
+              max_distinct: int = 1_000_000) -> DataFrame:
+    """Exact quantiles per key group, choosing the plan by a size check.
+
+    ``approx_count_distinct`` per group decides: when every group holds fewer than
+    ``max_distinct`` distinct values, Spark's exact ``percentile`` (a value -> count map per group,
+    merged map-side) is used; otherwise the distributed prefix-sum form. Both are exact and
+    interpolate linearly. Output: keys..., p, value.
+    """
+    grp = long.groupBy(*keys) if keys else long.groupBy()
+    most = grp.agg(F.approx_count_distinct(value).alias("d")).agg(F.max("d")).first()[0] or 0
+    if most < max_distinct:
+        pct = (long.where(F.col(value).isNotNull()).groupBy(*keys)
+               .agg(F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs])).alias("q")))
+        arr = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), F.col("q").alias("value"))
+        return pct.select(*keys, F.explode(arr).alias("z")).select(*keys, F.col("z.p").alias("p"),
+                                                                    F.col("z.value").alias("value"))
+    return exact_quantiles_long(long, keys, value, probs)
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], max_distinct: int = 1_000_000) -> dict:
+    """{column: [q(p) for p in probs]} for a fit step (one small result on the driver)."""
+    if not cols:
+        return {}
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "value")
+    out = {c: [None] * len(probs) for c in cols}
+    idx = {float(p): i for i, p in enumerate(probs)}
+    for r in quantiles(long, ["feature"], "value", probs, max_distinct).collect():
+        out[r["feature"]][idx[float(r["p"])]] = r["value"]
     return out

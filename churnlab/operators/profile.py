@@ -213,11 +213,12 @@ def discrete_histogram(df: DataFrame, col: str, by: str = S.LABEL) -> DataFrame:
 def box_summary(df: DataFrame, col: str, by: str = S.LABEL) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (clamped to data), mean and count per class."""
     x = F.col(col).cast("double")
-    q = df.groupBy(by).agg(
-        F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-        F.avg(x).alias("mean"), F.count(x).alias("n"), F.min(x).alias("mn"), F.max(x).alias("mx"))
-    q = q.select(by, "n", "mean", "mn", "mx", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
+    from .ordered import quantiles  # exact quartiles, size-checked plan
+    qs = quantiles(df.select(F.col(by), x.alias("value")), [by], "value", [0.25, 0.5, 0.75]).groupBy(by).agg(
+        *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n) for p, n in
+          [(0.25, "q1"), (0.5, "median"), (0.75, "q3")]])
+    m = df.groupBy(by).agg(F.avg(x).alias("mean"), F.count(x).alias("n"))
+    q = m.join(qs, by)
     fences = q.select(by, (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lf"),
                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("uf"))
     whisk = (df.select(F.col(by), x.alias("x")).join(F.broadcast(fences), by)
