@@ -1,4 +1,4 @@
-"""End-to-end jobs: the training pipeline (M17) and one monitoring cycle.
+"""End-to-end jobs: a training run (M17) and one monitoring cycle.
 
 Both are driver functions over Spark jobs. Stage outputs that later stages read several times
 (the cleaned table, the split feature table) are checkpointed to the shared folder named by
@@ -28,9 +28,9 @@ from . import monitoring as M
 BASE_FEATURES = [c for c in S.NUMERIC_INPUTS if "charge" not in c]
 
 
-def training_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, n_select: int = 20, rfe_step: float = 0.2,
-                      kinds: tuple = tuple(MD.KINDS), tune: bool = True, n_iter: int = 8, folds: int = 3,
-                      use_smote: bool = True, fit_on: str = "train", seed: int = 42, run_id: str | None = None) -> dict:
+def run_training(spark: SparkSession, sf_dir: str, out_dir: str, n_select: int = 20, rfe_step: float = 0.2,
+                 kinds: tuple = tuple(MD.KINDS), tune: bool = True, n_iter: int = 8, folds: int = 3,
+                 use_smote: bool = True, fit_on: str = "train", seed: int = 42, run_id: str | None = None) -> dict:
     """Merge -> clean -> split -> features -> RFE -> SMOTE -> fit/tune -> evaluate -> save."""
     t0 = time.time()
     run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
