@@ -125,13 +125,17 @@ def filter_customers(df: DataFrame, calls_range: tuple[int, int] | None = None,
 def risk_indicators(df: DataFrame) -> DataFrame:
     """Rule flags of the scoring form."""
     calls = F.col("customer_service_calls")
-    intl = F.col("international_plan")
-    vm = F.col("voice_mail_plan")
-    yes = lambda c: (c == F.lit("Yes")) if isinstance(df.schema[c._jc.toString()].dataType, T.StringType) else (c == 1)
+
+    def yes(name: str) -> Column:
+        # plans may still be text (Yes/No) or already encoded (1/0)
+        if isinstance(df.schema[name].dataType, T.StringType):
+            return F.col(name) == F.lit("Yes")
+        return F.col(name) == 1
+
     return df.withColumns({
         "high_service_calls_flag": flag(calls >= 4),
-        "intl_plan_flag": flag(yes(intl)),
-        "low_risk_flag": flag((calls <= 1) & yes(vm)),
+        "intl_plan_flag": flag(yes("international_plan")),
+        "low_risk_flag": flag((calls <= 1) & yes("voice_mail_plan")),
     })
 
 

@@ -222,6 +222,26 @@ def alert_rows(spark: SparkSession, kind: str, subject: str, body: str) -> DataF
                                  "ts timestamp, kind string, subject string, body string")
 
 
+def promote(spark: SparkSession, model, model_dir: str, ts: str, name: str, auc: float, accuracy: float,
+            source: str = "retraining") -> str:
+    """Save the model under a new versioned path and append a deployment record; the live
+    model is the latest record, so earlier versions stay available."""
+    path = f"{model_dir}/versions/{ts.replace(':', '-')}"
+    model.write().overwrite().save(path)
+    spark.createDataFrame([(ts, name, float(auc), float(accuracy), "deployed", source, path)],
+                          "deployment_timestamp string, model_name string, roc_auc double, accuracy double, "
+                          "status string, source string, path string") \
+        .write.mode("append").parquet(f"{model_dir}/deployments")
+    return path
+
+
+def live_model_path(spark: SparkSession, model_dir: str) -> str | None:
+    """The path of the latest deployment record (K4 over the deployments table)."""
+    from ..operators.profile import latest
+    rows = latest(spark.read.parquet(f"{model_dir}/deployments"), "deployment_timestamp").collect()
+    return rows[0]["path"] if rows else None
+
+
 @dataclass
 class RetrainResult:
     success: bool
@@ -263,7 +283,7 @@ def retrain(spark: SparkSession, data: DataFrame, features: list[str], trigger_r
                                                      F.lit(prod_auc).cast("double"))).first()
     deployed, reason = bool(dec[0]), dec[1]
     if deployed and model_dir:
-        models[best["model"]].write().overwrite().save(f"{model_dir}/{ts.replace(':', '-')}")
+        promote(spark, models[best["model"]], model_dir, ts, best["model"], best["roc_auc"], best["accuracy"])
     res = RetrainResult(True, deployed, trigger_reason, reason, best["model"], float(best["roc_auc"]),
                         time.time() - t0, ts)
     return res, models[best["model"]]

@@ -114,3 +114,15 @@ def test_attribution_queries_small(spark):
     df = queries()["logistic_attribution"](spark, SF_SMALL)
     rows = df.collect()
     assert rows and all(len(r["top_shap_features"]) == 6 for r in rows)
+
+
+def test_grid_search_and_promote(spark, frame):
+    import tempfile
+    from churnlab.plans import monitoring as M
+    f = SP.kfold(frame, 3, seed=2)
+    res = MD.grid_search(f, ["x1", "x2"], "random_forest", {"n_estimators": [5, 10], "max_depth": [2, 4]}, folds=3)
+    assert len(res.cv_scores) == 4 and set(res.best_params) == {"n_estimators", "max_depth"}
+    d = tempfile.mkdtemp(prefix="churnlab-models-")
+    p1 = M.promote(spark, res.model, d, "2026-01-01T00:00:00", "random_forest", 0.8, 0.7)
+    p2 = M.promote(spark, res.model, d, "2026-02-01T00:00:00", "random_forest", 0.85, 0.75)
+    assert p1 != p2 and M.live_model_path(spark, d) == p2
