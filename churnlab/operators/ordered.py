@@ -152,11 +152,14 @@ def _indexed_desc(df: DataFrame, score: str, label: str, keys: list[str]) -> Dat
     t = _score_table(df, score, label, keys).withColumn("one", F.lit(1).cast("bigint"))
     c = prefix_sums(t, keys, "score", ["pos", "neg", "one"], descending=True)
     tot = t.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.count(F.lit(1)).alias("K"))
-    # per-key totals: one row per key, joined by broadcast (a constant key when there are none)
-    jk = keys or ["__j"]
-    if not keys:
-        c, tot = c.withColumn("__j", F.lit(1)), tot.withColumn("__j", F.lit(1))
-    c = c.join(F.broadcast(tot), jk).drop("__j")
+    if keys:
+        # per-key totals: one row per key (models, features), joined by broadcast
+        c = c.join(F.broadcast(tot), keys)
+    else:
+        # a single total row: three numbers, applied as literals
+        r = tot.first()
+        c = c.withColumns({"P": F.lit(r["P"]).cast("bigint"), "N": F.lit(r["N"]).cast("bigint"),
+                           "K": F.lit(r["K"]).cast("bigint")})
     return c.withColumnRenamed("cum_one", "idx").withColumnRenamed("cum_pos", "tps").withColumnRenamed("cum_neg", "fps")
 
 
@@ -216,17 +219,18 @@ def exact_quantiles_long(long: DataFrame, keys: list[str], value: str, probs: li
         .agg(F.count(F.lit(1)).alias("__n"))
     c = prefix_sums(d, keys, "__v", ["__n"])
     tot = d.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-    jk = keys or ["__j"]
-    if not keys:
-        c, tot = c.withColumn("__j", F.lit(1)), tot.withColumn("__j", F.lit(1))
-    c = c.join(F.broadcast(tot), jk) if len(keys) <= 2 else c.join(tot, jk)
+    if keys:
+        c = c.join(F.broadcast(tot), keys)  # one row per key group
+    else:
+        c = c.withColumn("__total", F.lit(tot.first()["__total"]).cast("bigint"))
+    jk = keys
     aggs = []
     for i, p in enumerate(probs):
         pos = (F.col("__total") - 1) * F.lit(float(p))
         aggs += [F.min(F.when(F.col("cum___n") > F.floor(pos), F.col("__v"))).alias(f"lo{i}"),
                  F.min(F.when(F.col("cum___n") > F.ceil(pos), F.col("__v"))).alias(f"hi{i}"),
                  F.max(pos - F.floor(pos)).alias(f"fr{i}")]
-    g = c.groupBy(*jk).agg(*aggs)
+    g = c.groupBy(*jk).agg(*aggs) if jk else c.agg(*aggs)
     arr = F.array(*[F.struct(F.lit(float(p)).alias("p"),
                              (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"fr{i}")).alias("value"))
                     for i, p in enumerate(probs)])

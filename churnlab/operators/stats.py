@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.bins import cut
+from ..functions.frames import side_by_side
 from ..functions.pvalues import p_chi2, p_f, p_t
 from .ordered import ks_2samp  # noqa: F401  (Q8 lives with the prefix sums)
 
@@ -173,7 +174,7 @@ def chi2_gof(ref: DataFrame, new: DataFrame, label: str = S.LABEL, with_p: bool
     """
     r = ref.agg(F.avg(F.col(label).cast("double")).alias("ref_rate"))
     n = new.agg(F.count(F.lit(1)).alias("n_new"), F.avg(F.col(label).cast("double")).alias("new_rate"))
-    j = r.withColumn("__j", F.lit(1)).join(n.withColumn("__j", F.lit(1)), "__j").drop("__j")
+    j = side_by_side(r, n)
     o1, o0 = F.col("new_rate") * F.col("n_new"), (1 - F.col("new_rate")) * F.col("n_new")
     e1, e0 = F.col("ref_rate") * F.col("n_new"), (1 - F.col("ref_rate")) * F.col("n_new")
     term = lambda o, e: F.when(e > 0, F.pow(o - e, 2) / e).otherwise(F.lit(0.0))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..functions.frames import side_by_side
 from ..operators import models as MD
 from ..operators import ordered as W
 from ..operators import stats as Q
@@ -34,8 +35,8 @@ DRIFT_CRITICAL_PCT, DRIFT_WARNING_PCT = 30, 10
 
 
 def _one(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Place two one-row tables side by side (constant-key join of single rows)."""
-    return a.withColumn("__j", F.lit(1)).join(b.withColumn("__j", F.lit(1)), "__j").drop("__j")
+    """Place two one-row tables side by side (stacked and re-aggregated, no join)."""
+    return side_by_side(a, b)
 
 
 # ---------------------------------------------------------------- M1 reference profile
