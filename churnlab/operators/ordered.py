@@ -55,7 +55,10 @@ def prefix_sums(df: DataFrame, keys: list[str], order: str, cols: list[str], des
     """Inclusive running sums of ``cols`` over ``order`` within ``keys``.
 
     ``df`` must hold one row per (keys, order, *tiebreak) value (aggregate first). Buckets follow
-    ``order`` alone, so rows tied on it share a bucket and ``tiebreak`` orders them there.
+    ``order``; ``tiebreak`` orders tied rows. A tied value that holds more than a bucket's share
+    of rows (one value may hold a third of the table) is salted over sub-buckets by a hash of the
+    tie-break columns, so the order among its rows is (salt, tie-break) and no window task takes
+    the whole hot value.
     The bucket count grows with the largest group (about ``rows_per_bucket`` rows per window
     task, at least ``N_BUCKETS``), capped so all boundaries together stay below
     ``max_total_bounds`` values. Adds ``prefix+col``.
@@ -75,23 +78,44 @@ def prefix_sums(df: DataFrame, keys: list[str], order: str, cols: list[str], des
     rows = x.groupBy("__g").agg(F.percentile_approx("__sv", probs, accuracy).alias("__b")).collect()
     # boundaries are collected once (groups x buckets values) and shipped back as a fixed
     # relation, so every branch and every retry assigns the same bucket to a value
-    bounds = [(r["__g"], sorted(set(v for v in (r["__b"] or []) if v is not None))) for r in rows]
+    bounds, hot = [], []
+    for r in rows:
+        raw = [v for v in (r["__b"] or []) if v is not None]
+        bounds.append((r["__g"], sorted(set(raw))))
+        if tiebreak:
+            # a value repeated among the boundaries holds more than one bucket's share of rows
+            for v in set(raw):
+                k = raw.count(v)
+                if k > 1:
+                    hot.append((r["__g"], v, k + 1))
     longest = max([len(b) for _, b in bounds] or [0])
     bdf = x.sparkSession.createDataFrame(
         bounds, T.StructType([T.StructField("__g", T.StringType()), T.StructField("__b", T.ArrayType(dtype))]))
     x = x.join(F.broadcast(bdf), "__g")
     x = x.withColumn("__bucket", lower_bound(F.col("__b"), F.col("__sv"), longest)).drop("__b")
-    w = (Window.partitionBy("__g", "__bucket").orderBy("__sv", *(tiebreak or []))
+    order_cols = ["__sv"]
+    if hot:
+        # salting: rows of a hot value are split over sub-buckets by a hash of the tie-break
+        # columns; the total order becomes (value, salt, tie-break), still deterministic
+        hdf = x.sparkSession.createDataFrame(hot, T.StructType([
+            T.StructField("__g", T.StringType()), T.StructField("__sv", dtype), T.StructField("__salts", T.IntegerType())]))
+        x = x.join(F.broadcast(hdf), ["__g", "__sv"], "left")
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in tiebreak]), F.col("__salts"))
+        x = x.withColumn("__sub", F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(salt + 1)).drop("__salts")
+        order_cols.append("__sub")
+    else:
+        x = x.withColumn("__sub", F.lit(0))
+    w = (Window.partitionBy("__g", "__bucket", "__sub").orderBy(*order_cols, *(tiebreak or []))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = x.withColumns({f"__in_{c}": F.sum(c).over(w) for c in cols})
-    totals = x.groupBy("__g", "__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
-    wb = Window.partitionBy("__g").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__g", "__bucket", *[
+    totals = x.groupBy("__g", "__bucket", "__sub").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
+    wb = Window.partitionBy("__g").orderBy("__bucket", "__sub").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__g", "__bucket", "__sub", *[
         F.coalesce(F.sum(f"__t_{c}").over(wb), F.lit(0)).alias(f"__o_{c}") for c in cols])
-    # offsets hold one row per (group, bucket): bounded by max_total_bounds
-    x = x.join(F.broadcast(offsets), ["__g", "__bucket"])
+    # offsets hold one row per (group, bucket, sub-bucket): bounded by the boundary budget
+    x = x.join(F.broadcast(offsets), ["__g", "__bucket", "__sub"])
     x = x.withColumns({f"{prefix}{c}": F.col(f"__in_{c}") + F.col(f"__o_{c}") for c in cols})
-    return x.drop("__g", "__sv", "__bucket", *[f"__in_{c}" for c in cols], *[f"__o_{c}" for c in cols])
+    return x.drop("__g", "__sv", "__bucket", "__sub", *[f"__in_{c}" for c in cols], *[f"__o_{c}" for c in cols])
 
 
 def _long_two_sample(ref: DataFrame, new: DataFrame, cols: list[str]) -> DataFrame:

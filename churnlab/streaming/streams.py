@@ -1,8 +1,8 @@
 """Structured Streaming twins of scoring and monitoring.
 
 X1 ``stream_score``: request files arriving in a folder are scored per micro-batch with the same
-table job as batch scoring (``foreachBatch``); results and rejects are appended to two tables.
-The batch id is written with the rows, so a replayed micro-batch can be recognised downstream.
+table job as batch scoring (``foreachBatch``); results and rejects go to two tables partitioned
+by batch id, each micro-batch overwriting only its own partition (idempotent on replay).
 
 X2 ``stream_monitor``: event-time tumbling windows per event type with a watermark, so state is
 bounded and rows later than the watermark are dropped; ``window_counts`` is its batch twin.
@@ -50,9 +50,11 @@ def stream_score(spark: SparkSession, source_dir: str, schema: T.StructType, mod
     requests = spark.readStream.schema(schema).format(fmt).load(source_dir)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        # foreachBatch may replay a micro-batch after a failure: each batch owns one partition
+        # folder and overwrites it, so a replay replaces its own output instead of duplicating it
         res, rej = score_requests(model, batch, stats, features, background)
-        res.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_dir)
-        rej.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(reject_dir)
+        res.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        rej.write.mode("overwrite").parquet(f"{reject_dir}/batch_id={batch_id}")
 
     return (requests.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint_dir).start())

@@ -119,3 +119,14 @@ def test_prefix_sums_many_buckets_binary_search(spark):
     got = spark.createDataFrame([(v,) for v in [0.0, 1.0, 2.0, 3.0, 5.0, 7.0, 9.0]], "v double") \
         .select(W.lower_bound(arr, F.col("v"), 4).alias("b")).collect()
     assert [r["b"] for r in got] == [0, 0, 1, 1, 3, 3, 4]
+
+
+def test_prefix_sums_salts_hot_value(spark):
+    # one value holds 40 % of the rows: its rows are spread over sub-buckets, ranks stay exact
+    rng = np.random.RandomState(4)
+    v = np.where(rng.rand(3000) < 0.4, 5.0, rng.normal(size=3000))
+    pdf = pd.DataFrame({"id": np.arange(3000), "v": v, "one": 1})
+    out = W.prefix_sums(spark.createDataFrame(pdf), [], "v", ["one"], tiebreak=["id"], n_buckets=32).toPandas()
+    assert sorted(out["cum_one"]) == list(range(1, 3001))        # a permutation of ranks
+    by_v = out.sort_values("cum_one")["v"].to_numpy()
+    assert (np.diff(by_v) >= 0).all()                            # ranks follow the value order
