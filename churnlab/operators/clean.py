@@ -361,9 +361,12 @@ def outlier_summary(df: DataFrame, cols: list[str], factor: float = 1.5) -> Data
 
 
 def preprocess(df: DataFrame, levels: list[str] | None = None, imputation: Imputation | None = None,
-               one_hot_state: bool = True) -> DataFrame:
-    """C11: dedup, impute, encode plans and label, one-hot state, drop area code (in this order)."""
-    out = dedup_rows(df)
+               one_hot_state: bool = True, dedup: bool = True) -> DataFrame:
+    """C11: dedup, impute, encode plans and label, one-hot state, drop area code (in this order).
+
+    ``dedup=False`` when the input is already deduplicated (e.g. a checkpointed ``dedup_rows``).
+    """
+    out = dedup_rows(df) if dedup else df
     out = impute(out, imputation)
     out = encode_yes_no(out)
     out = encode_label(out)

@@ -35,7 +35,8 @@ def _r(c: str, d: int = 6):
 
 
 def _dirty(spark, sf):
-    """Dirty fixture variant, checkpointed once (cleaning reads it in several passes)."""
+    """Dirty fixture variant, checkpointed once (cleaning reads it in several passes). It keeps
+    its repeated rows: the cleaning queries are about them."""
     return checkpoint(FX.dirty_customer_usage(spark, sf))
 
 
