@@ -615,3 +615,58 @@ def q_merge(spark, sf):
     u = usage(spark, sf).select(S.ID, "state", S.LABEL)
     ref, new = positional_split(u, 0.8)
     return P.merge_sources(ref.withColumn("source", F.lit("part_80")), new.withColumn("source", F.lit("part_20")))
+
+
+# ================================================================ more projections and profile variants
+
+_KEPT_RAW = [c for c in S.RAW_COLUMNS if "charge" not in c and c != "area_code"]
+
+
+@register("drop_charges_area_code", W_(O.CUSTOMER_USAGE, f"""
+  SELECT {', '.join(_KEPT_RAW)} FROM customer_usage"""))
+def q_drop_columns(spark, sf):
+    """P1 + P2: drop the columns whose name contains 'charge', then area code if present."""
+    return C.drop_if_exists(FE.drop_matching(usage(spark, sf), "charge"), ["area_code", "no_such_column"])
+
+
+@register("label_yes_no", W_(O.CLEANED, """
+  SELECT customer_id, CASE WHEN churn = 1 THEN 'Yes' WHEN churn = 0 THEN 'No' END AS churn_label FROM cleaned"""))
+def q_map_values(spark, sf):
+    """Label 1/0 mapped to Yes/No (an unmapped value would become NULL)."""
+    return C.map_values(cleaned(spark, sf), S.LABEL, {1: "Yes", 0: "No"}, out="churn_label") \
+        .select(S.ID, "churn_label")
+
+
+@register("crosstab_intl_churn_counts", W_(O.CLEANED, """
+  SELECT international_plan, COUNT_IF(churn = 0) AS "0", COUNT_IF(churn = 1) AS "1" FROM cleaned
+  GROUP BY international_plan"""))
+def q_crosstab_counts(spark, sf):
+    """A4 (counts): contingency of international plan by label with fixed pivot values."""
+    return P.crosstab(cleaned(spark, sf), "international_plan", S.LABEL, [0, 1])
+
+
+@register("histogram_density_service_calls", W_(O.CLEANED, """
+  , mm AS (SELECT MIN(customer_service_calls) AS lo, MAX(customer_service_calls) AS hi FROM cleaned),
+  p AS (SELECT CASE WHEN hi = lo THEN lo - 0.5 ELSE lo END AS lo2,
+               CASE WHEN hi = lo THEN 1.0 / 10 ELSE (hi - lo) / 10.0 END AS w FROM mm),
+  b AS (SELECT CAST(LEAST(FLOOR((customer_service_calls - p.lo2) / p.w), 9) AS INTEGER) AS bin, churn, p.lo2, p.w
+        FROM cleaned, p WHERE customer_service_calls IS NOT NULL),
+  g AS (SELECT bin, churn, COUNT(*) AS n, ANY_VALUE(lo2) AS lo2, ANY_VALUE(w) AS w FROM b GROUP BY bin, churn)
+  SELECT bin, churn, n, ROUND(lo2 + bin * w, 6) AS bin_start, ROUND(lo2 + (bin + 1) * w, 6) AS bin_end,
+         ROUND(n / (SUM(n) OVER (PARTITION BY churn) * w), 9) AS density FROM g"""))
+def q_hist_density(spark, sf):
+    """A14 (density): 10 equal-width bins of service calls per class, counts / (class rows x width)."""
+    h = P.histogram(cleaned(spark, sf), "customer_service_calls", 10, density=True)
+    return h.withColumns({"bin_start": F.round("bin_start", 6), "bin_end": F.round("bin_end", 6),
+                          "density": F.round("density", 9)})
+
+
+@register("kpis_filtered", W_(O.CLEANED, """
+  , f AS (SELECT * FROM cleaned WHERE customer_service_calls BETWEEN 0 AND 5 AND international_plan IN (0, 1)
+          AND voice_mail_plan IN (1))
+  SELECT COUNT(*) AS customers, ROUND(AVG(CAST(churn AS DOUBLE)), 6) AS churn_rate,
+    COUNT_IF(customer_service_calls > 3) AS high_risk_callers, COUNT_IF(international_plan = 1) AS intl_plan_users
+  FROM f"""))
+def q_kpis_filtered(spark, sf):
+    """P10 + A7: the dashboard flow, sidebar filters then the four KPIs."""
+    return P.kpis(C.filter_customers(cleaned(spark, sf), (0, 5), [0, 1], [1]))
