@@ -65,7 +65,13 @@ def prefix_sums(df: DataFrame, keys: list[str], order: str, cols: list[str], des
     """
     ordv = F.col(order)
     sort_v = -ordv if descending else ordv
-    gk = _group_key(keys)
+    if keys:
+        gk = _group_key(keys)
+    else:
+        # a single group: the key is an empty string derived from a data column, so the optimizer
+        # cannot fold it and the joins below stay broadcast *hash* joins (a folded constant key
+        # turns them into nested-loop joins)
+        gk = F.coalesce(F.substring(F.col(order).cast("string"), 1, 0), F.lit(""))
     x = df.withColumns({"__g": gk, "__sv": sort_v})
     sizes = [r[1] for r in x.groupBy("__g").count().collect()]
     n_groups = max(1, len(sizes))

@@ -107,7 +107,9 @@ def test_stream_monitor_equals_batch_twin(spark):
 def test_plans_have_no_cartesian_or_python_udf(spark):
     from __spark_entry__ import queries
     qs = queries()
-    for name in ["customer_usage", "engineered_features", "ks_drift_split", "segment_matrix", "kde_usage"]:
+    for name in ["customer_usage", "engineered_features", "ks_drift_split", "segment_matrix", "kde_usage",
+                 "roc_auc_standin", "pr_curve_standin", "positional_split", "class_metrics_standin",
+                 "champion_challenger_standin"]:
         plan = qs[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
