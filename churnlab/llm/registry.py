@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, hmm, near_dedup, packing, pii, quality, suffix_dedup
+from . import exact_dedup, gumbel_pieces, hmm, langid, line_dedup, near_dedup, packing, pii, quality, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     found = [hmm.op1_hidden_markov, exact_dedup.op2_exact_dedup, near_dedup.op3_multi_index_hamming, quality.op4_quality_ratio,
-             packing.op6_best_fit_packing, pii.op7_pii_spans, suffix_dedup.op10_suffix_sort]
+             gumbel_pieces.op5_gumbel_segmentations, packing.op6_best_fit_packing, pii.op7_pii_spans,
+             langid.op8_byte_cnn, line_dedup.op9_segment_edit_join, suffix_dedup.op10_suffix_sort]
     return {f.__name__: f for f in found}
 
 
