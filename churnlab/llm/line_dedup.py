@@ -10,9 +10,11 @@ occurrence is earlier; lines under ``MIN_CHARS`` code points only match exactly.
   index has a row for each (length, segment number, segment); a line probes, for its own and each
   smaller length, the substrings whose start can be that segment's (the multi-match-aware window
   of the length difference). Of lines with many copies only the first occurrence takes part.
-* Candidates are filtered by the parity of their characters (an edit flips two bits at most), and
-  verified by a banded bit-parallel automaton: for each allowed number of edits one word has a bit
-  for each diagonal of the band, moved once per character.
+* Keys that only one line has go first. Lines of a key are paired only if the parities of their
+  characters (an edit flips two bits at most) and of their pairs of neighbouring characters (four at
+  most) allow it, so that many variants of one line don't all meet.
+* Pairs are verified by a banded bit-parallel automaton: for each allowed number of edits one word
+  has a bit for each diagonal of the band, moved once per character.
 
 Defined results: a null text counts as empty; lines without a word are never removed nor counted;
 rows that repeat an id and text are one document for the order of lines and each get the same
@@ -22,7 +24,7 @@ result; a null id comes last; an empty table gives an empty result; extra column
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, documents, saved, text_of
@@ -76,10 +78,13 @@ def probe_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
     return F.array_distinct(F.array_compact(F.array(*keys)))
 
 
-def parity(line: Column) -> Column:
-    """64 bits: for each the parity of the characters that fall on it."""
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.ascii(c), F.lit(64)))
-    return F.aggregate(F.split(line, ""), F.lit(0).cast("bigint"), lambda a, c: a.bitwiseXOR(bit(c)))
+def parities(line: Column) -> tuple[Column, Column]:
+    """64 bits each: the parity of the characters, and of the pairs of neighbours, that fall on a bit."""
+    flip = lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(x, F.lit(64)).cast("int")))
+    zero = F.lit(0).cast("bigint")
+    pairs = lambda chars: F.zip_with(chars, F.slice(chars, 2, F.size(chars)), lambda x, y: F.xxhash64(x, y))
+    return (F.aggregate(F.split(line, ""), zero, lambda a, c: flip(a, F.ascii(c))),
+            F.aggregate(_let(F.split(line, ""), pairs), zero, flip))
 
 
 def within(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -120,19 +125,26 @@ def near_links(lines: DataFrame, known: DataFrame, edits: int = EDITS, min_chars
         hot = F.broadcast(hot)
     own = lines.filter(F.length("line") >= min_chars).join(hot, F.col("h") == F.col("hot"), "left").filter("hot IS NULL OR ord = hot_first")
     own = own.select("h", "line", F.length("line").alias("l"))
-    index = own.select("h", F.explode(index_keys(F.col("line"), F.col("l"), edits)).alias("key")).repartition("key").distinct()
-    probes = own.select(F.col("h").alias("p"), F.explode(probe_keys(F.col("line"), F.col("l"), edits)).alias("key")).repartition("key").distinct()
-    pairs = saved(index.join(probes, (index["key"] == probes["key"]) & (F.col("h") != F.col("p"))).select(
-        F.least("h", "p").alias("a"), F.greatest("h", "p").alias("b")).distinct(), "line-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    both = F.concat(index_keys(F.col("line"), F.col("l"), edits), probe_keys(F.col("line"), F.col("l"), edits))
+    rows = own.select("h", F.posexplode(both).alias("number", "key")).select("key", "h", (F.col("number") <= edits).alias("indexed"))
+    key = Window.partitionBy("key")
+    rows = rows.withColumns({"least": F.min("h").over(key), "most": F.max("h").over(key)}).filter("least <> most")
+    met = saved(rows.select("key", "h", "indexed").distinct(), "line-keys")
+    wanted = met.select("h").distinct()
     if wanted.count() <= SMALL:
         wanted = F.broadcast(wanted)
     texts = own.join(wanted, "h", "left_semi").dropDuplicates(["h"])
-    texts = saved(texts.select("h", "line", "l", parity(F.col("line")).alias("bits")), "line-texts")
-    side = lambda s: texts.select(F.col("h").alias(s), F.col("line").alias(f"line_{s}"), F.col("l").alias(f"l_{s}"), F.col("bits").alias(f"bits_{s}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(
-        (F.abs(F.col("l_a") - F.col("l_b")) <= edits) & (F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= 2 * edits))
-    return saved(both.filter(within(F.col("line_a"), F.col("line_b"), edits)).select("a", "b"), "line-links")
+    chars, pairs = parities(F.col("line"))
+    texts = saved(texts.select("h", "line", "l", chars.alias("chars"), pairs.alias("pairs")), "line-texts")
+    signed = met.join(texts.select("h", "l", "chars", "pairs"), "h")
+    side = lambda s, which: signed.filter(which).select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("h", "l", "chars", "pairs")])
+    flips = lambda c: F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
+    close = F.expr(f"l_b BETWEEN l_a AND l_a + {edits} AND h_a <> h_b AND (l_a < l_b OR h_a < h_b)")
+    close = close & (flips("chars") <= 2 * edits) & (flips("pairs") <= 4 * edits)
+    found = side("a", "indexed").join(side("b", "NOT indexed"), "key").filter(close).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
+    text = lambda s: texts.select(F.col("h").alias(s), F.col("line").alias(f"line_{s}"))
+    read = found.join(text("a"), "a").join(text("b"), "b")
+    return saved(read.filter(within(F.col("line_a"), F.col("line_b"), edits)).select("a", "b"), "line-links")
 
 
 def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -59,7 +59,7 @@ def cases():
             k = rng.randrange(len(x))
             x[k:k + rng.randint(0, 1)] = rng.choices("abcd é", k=rng.randint(0, 1))
         rows.append((i, "\n".join(rng.sample(["".join(x), rng.choice(base), "short", "", " ", f"line {i % 7}"], k=rng.randint(1, 6)))))
-    return rows + [(70, None), (71, ""), (72, "\n\n"), (5, rows[5][1]), (None, base[3] + "\nown line"), (73, "z" * 20_000 + "\n" + "z" * 19_999 + "y")]
+    return rows + [(70, None), (71, ""), (72, "\n\n"), (5, rows[5][1]), (None, base[3] + "\nown line"), (73, "z" * 1_500 + "\n" + "z" * 1_499 + "y")]
 
 
 def found(df):
