@@ -75,7 +75,7 @@ def probe_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
         for i, (start, size) in enumerate(_segments(other, edits)):
             low, high = max(-i, less - (edits - i)), min(i, less + (edits - i))
             keys += [F.when((start + k >= 0) & (start + k + size <= length), _key(other, i, line, start + k, size)) for k in range(low, high + 1)]
-    return F.array_distinct(F.array_compact(F.array(*keys)))
+    return F.array(*keys)  # null where a place is out of the line
 
 
 def parities(line: Column) -> tuple[Column, Column]:
@@ -126,7 +126,7 @@ def near_links(lines: DataFrame, known: DataFrame, edits: int = EDITS, min_chars
     own = lines.filter(F.length("line") >= min_chars).join(hot, F.col("h") == F.col("hot"), "left").filter("hot IS NULL OR ord = hot_first")
     own = own.select("h", "line", F.length("line").alias("l"))
     both = F.concat(index_keys(F.col("line"), F.col("l"), edits), probe_keys(F.col("line"), F.col("l"), edits))
-    rows = own.select("h", F.posexplode(both).alias("number", "key")).select("key", "h", (F.col("number") <= edits).alias("indexed"))
+    rows = own.select("h", F.posexplode(both).alias("number", "key")).filter("key IS NOT NULL").select("key", "h", (F.col("number") <= edits).alias("indexed"))
     key = Window.partitionBy("key")
     rows = rows.withColumns({"least": F.min("h").over(key), "most": F.max("h").over(key)}).filter("least <> most")
     met = saved(rows.select("key", "h", "indexed").distinct(), "line-keys")
@@ -150,13 +150,14 @@ def near_links(lines: DataFrame, known: DataFrame, edits: int = EDITS, min_chars
 def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Documents (d, t) with the places of their removed lines: exact, near."""
     lines = lines_of(docs, id_col, text_col)
-    known = saved(lines.groupBy("h", "g").agg(F.min("ord").alias("first"), F.count("*").alias("n")), "lines")
+    hashed = saved(lines.drop("line"), "line-hashes")
+    known = saved(hashed.groupBy("h", "g").agg(F.min("ord").alias("first"), F.count("*").alias("n")), "lines")
     links = near_links(lines, known, edits, min_chars)
     first = known.groupBy("h").agg(F.min("first").alias("first"))
     dated = links.join(first.select(F.col("h").alias("a"), F.col("first").alias("fa")), "a").join(first.select(F.col("h").alias("b"), F.col("first").alias("fb")), "b")
     later = dated.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("h")).distinct().withColumn("near", F.lit(True))
     told = known.filter("n > 1").select("h", "g", "first").join(later, "h", "full").select("h", "g", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    marks = lines.select("d", "t", "pos", "h", "g", "ord").join(told.select("h", F.col("g").alias("g2"), "first", "near"), "h")
+    marks = hashed.join(told.select("h", F.col("g").alias("g2"), "first", "near"), "h")
     exact = F.coalesce((F.col("g") == F.col("g2")) & (F.col("ord") > F.col("first")), F.lit(False))
     marks = marks.select("d", "t", "pos", exact.alias("exact"), "near").filter("exact OR near")
     places = lambda which: F.sort_array(F.collect_set(F.when(which, F.col("pos"))))  # noqa: E731  a document's own lines
