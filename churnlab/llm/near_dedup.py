@@ -16,8 +16,10 @@ Nothing emits all pairs of a bucket:
   confirmed on the full shingle sets, and the links are joined into components;
 * links that stars can't see lie between different components inside one bucket. Only buckets
   with more than one component go on, and there only members outside the bucket's first
-  component are paired with members of other components, within the distance and not yet seen.
-  A link inside a component can't change it.
+  component are paired with members of other components, not yet seen and within the distance of
+  a wider signature that is computed for these documents alone (``WIDE`` bits; more than 204 of 2048
+  differ with probability 2e-5 at the threshold), so that few pairs but true links come out. A link
+  inside a component can't change it.
 
 Defined results: white space is ASCII, A-Z is lower-cased; fewer than five words make one shingle;
 a document without words has an empty set and is linked with nothing; a null text counts as
@@ -42,10 +44,11 @@ SHINGLE, PERCENT = 5, 85
 CHUNKS, WIDTH = 12, 6
 PLACES = CHUNKS * WIDTH
 BITS, MAX_BITS = 512, 62
+WIDE, MAX_WIDE = 2048, 204
 #: Odd multipliers and offsets of the hash family, from one seed.
 _RNG = np.random.default_rng(20240229)
-_MUL = (_RNG.integers(0, 1 << 31, BITS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
-_ADD = _RNG.integers(0, 1 << 32, BITS, dtype=np.uint32)
+_MUL = (_RNG.integers(0, 1 << 31, WIDE, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
+_ADD = _RNG.integers(0, 1 << 32, WIDE, dtype=np.uint32)
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -84,14 +87,25 @@ def shingle_hashes(words: list[bytes], hashes: WordHashes, size: int = SHINGLE)
     return np.unique(out)
 
 
-def signatures(shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The lowest value of each hash function over the set: the first ones cut to 8 bits, and all
-    cut to one bit, packed into 64-bit words."""
-    low = np.full(BITS, 0xFFFFFFFF, np.uint32)
+def lowest(shingles: np.ndarray, functions: int) -> np.ndarray:
+    """The lowest value over the set of each of the first hash functions."""
+    low = np.full(functions, 0xFFFFFFFF, np.uint32)
+    mul, add = _MUL[:functions, None], _ADD[:functions, None]
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     for i in range(0, len(x), 256):
-        np.minimum(low, (x[None, i:i + 256] * _MUL[:, None] + _ADD[:, None]).min(axis=1), out=low)
-    return low[:PLACES].astype(np.uint8).tobytes(), np.packbits((low >> np.uint32(8)).astype(np.uint8) & 1).view(np.int64)
+        np.minimum(low, (x[None, i:i + 256] * mul + add).min(axis=1), out=low)
+    return low
+
+
+def bits(low: np.ndarray) -> np.ndarray:
+    """One bit of each value, packed into 64-bit words."""
+    return np.packbits((low >> np.uint32(8)).astype(np.uint8) & 1).view(np.int64)
+
+
+def signatures(shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The index signature (values cut to 8 bits) and the bit signature."""
+    low = lowest(shingles, BITS)
+    return low[:PLACES].astype(np.uint8).tobytes(), bits(low)
 
 
 def _words(text: pa.Scalar) -> list[bytes]:
@@ -145,29 +159,38 @@ def _named(reps: DataFrame, side: str) -> DataFrame:
     return reps.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("sig").alias(f"sig_{side}"))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, small: int = 2_000_000) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold.
+def _about(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, compute, small: int = 2_000_000) -> DataFrame:
+    """(id, s): an array of 64-bit words about the shingle set of each wanted document, once per id.
 
-    Only documents of some pair are turned into sets. Their ids are broadcast when counted and at
-    most ``small``; beyond that the join shuffles.
+    The ids are broadcast when counted and at most ``small``; beyond that the join shuffles.
     """
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            found = [shingle_hashes(_words(t), hashes).view(np.int64) for t in batch.column(1)]
+            found = [compute(shingle_hashes(_words(t), hashes)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "s"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     if wanted.count() <= small:
         wanted = F.broadcast(wanted)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).cast("binary").alias("text")).join(wanted, "id", "left_semi")
-    found = saved(texts.mapInArrow(sets, "id bigint, s array<bigint>").dropDuplicates(["id"]), "shingle-sets")
+    return texts.mapInArrow(run, "id bigint, s array<bigint>").dropDuplicates(["id"])
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the threshold."""
+    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
+    found = saved(_about(wanted, docs, id_col, text_col, lambda s: s.view(np.int64)), "shingle-sets")
     both = pairs.select("a", "b").join(found.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
         found.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.filter(common * 100 >= (F.size("sa") + F.size("sb") - common) * PERCENT).select("a", "b")
 
 
+def _close_wide():
+    """The wide signatures within their distance."""
+    return F.aggregate(F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x) <= MAX_WIDE
+
+
 def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     prints = saved(fingerprints(docs, id_col, text_col), "fingerprints")
@@ -186,9 +209,11 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     told = saved(told.join(_named(reps, "id"), "id").select("key", "id", "c", F.col("n_id").alias("n"), F.col("sig_id").alias("sig")), "told")
     spread = told.groupBy("key").agg(F.min("c").alias("first"), F.max("c").alias("last")).filter("first <> last")
     open_ = saved(told.join(spread, "key").drop("last"), "open-buckets")
-    side = lambda s: open_.select("key", F.col("id").alias(s), F.col("c").alias(f"c_{s}"), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("first").alias(f"first_{s}"))
+    wide = _about(open_.select("id").distinct(), docs, id_col, text_col, lambda s: bits(lowest(s, WIDE)))
+    open_ = saved(open_.join(wide.withColumnRenamed("s", "wide"), "id"), "open-wide")
+    side = lambda s: open_.select(F.col("wide").alias(f"wide_{s}"), "key", F.col("id").alias(s), F.col("c").alias(f"c_{s}"), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("first").alias(f"first_{s}"))
     cross = side("a").filter("c_a <> first_a").join(side("b"), "key").filter(
-        "c_a <> c_b AND (c_b = first_b OR a < b)").filter(_close("a", "b"))
+        "c_a <> c_b AND (c_b = first_b OR a < b)").filter(_close("a", "b") & _close_wide())
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = saved(cross.join(near, ["a", "b"], "left_anti"), "cross-pairs")
     if not more.isEmpty():
