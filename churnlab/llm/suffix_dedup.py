@@ -44,7 +44,7 @@ WINDOW, Q = 50, 16
 SPAN = WINDOW - Q            # an anchor is at most so many bytes behind its window's start
 WIDTH = SPAN + WINDOW        # bytes around an anchor that its windows can cover
 CHUNK, BLOCK = 1 << 20, 2 << 20
-ANCHORS_PER_BUCKET, RECORDS_PER_BUCKET = 2_000_000, 40_000
+ANCHORS_PER_BUCKET, RECORDS_PER_BUCKET, BATCH = 500_000, 40_000, 6 << 20
 #: Batches with the same anchor beyond which it is sent window by window.
 COMMON = 256
 _LAST = np.iinfo(np.int64).max
@@ -140,9 +140,17 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about BATCH bytes of text."""
+    sizes = np.cumsum([len(t.as_buffer()) for t in batch.column(1)])
+    cuts = np.flatnonzero(np.diff(sizes // BATCH)) + 1 if len(sizes) else []
+    for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
 def _anchor_messages(buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             block = batch.column(0).to_numpy(zero_copy_only=False)
             found = [(c.row[c.of], c.hash) for c in _chunks(batch.column(1).to_pylist())]
             row = np.concatenate([np.empty(0, np.int64), *[f[0] for f in found]])
@@ -194,9 +202,9 @@ class Block:
     """
 
     def __init__(self, group: pd.DataFrame, shared: pd.DataFrame):
-        order = sorted(range(len(group)), key=lambda i: (group["_id"].iat[i], group["_text"].iat[i]))
-        self.ids_of = group["_id"].to_numpy()[order]
-        self.texts = [group["_text"].iat[i] for i in order]
+        rows = sorted(zip(group["_id"].tolist(), group["_text"].tolist()))
+        self.ids_of = np.array([r[0] for r in rows], np.int64)
+        self.texts = [r[1] for r in rows]
         marked = np.sort(np.concatenate([np.empty(0, np.uint64), *[np.frombuffer(h, np.uint64) for h in shared["hashes"]]]))
         known, common = marked & ~U(1), (marked & U(1)).astype(bool)
         parts = [self._of_chunk(c, known, common) for c in _chunks(self.texts)] if len(known) else []
