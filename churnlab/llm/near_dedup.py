@@ -18,8 +18,9 @@ Nothing emits all pairs of a bucket:
   with more than one component go on, and there only members outside the bucket's first
   component are paired with members of other components, not yet seen and within the distance of
   a wider signature that is computed for these documents alone (``WIDE`` bits; more than 204 of 2048
-  differ with probability 2e-5 at the threshold), so that few pairs but true links come out. A link
-  inside a component can't change it.
+  differ with probability 2e-5 at the threshold), so that few pairs but true links come out. A pair
+  with an equal chunk meets in the bucket of that chunk's first place alone. A link inside a
+  component can't change it.
 
 Defined results: white space is ASCII, A-Z is lower-cased; fewer than five words make one shingle;
 a document without words has an empty set and is linked with nothing; a null text counts as
@@ -159,6 +160,13 @@ def _named(reps: DataFrame, side: str) -> DataFrame:
     return reps.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("sig").alias(f"sig_{side}"))
 
 
+def _once():
+    """Whether a bucket is the one for its pair in this chunk: the masked place differs, or is the first."""
+    place = F.shiftright("key", 8 * (WIDTH - 1)).cast("int")
+    at = lambda s: F.substring(F.col(f"places_{s}"), place + 1, F.lit(1))
+    return (place % WIDTH == 0) | (at("a") != at("b"))
+
+
 def _about(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, compute, small: int = 2_000_000) -> DataFrame:
     """(id, s): an array of 64-bit words about the shingle set of each wanted document, once per id.
 
@@ -206,14 +214,14 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
 
     # what stars can't see: members of one bucket in different components
     told = met.join(label.withColumnRenamed("component", "c"), "id", "left").select("key", "id", F.coalesce("c", "id").alias("c"))
-    told = saved(told.join(_named(reps, "id"), "id").select("key", "id", "c", F.col("n_id").alias("n"), F.col("sig_id").alias("sig")), "told")
+    told = saved(told.join(reps.select("id", "n", "sig", "places"), "id").select("key", "id", "c", "n", "sig", "places"), "told")
     spread = told.groupBy("key").agg(F.min("c").alias("first"), F.max("c").alias("last")).filter("first <> last")
     open_ = saved(told.join(spread, "key").drop("last"), "open-buckets")
     wide = _about(open_.select("id").distinct(), docs, id_col, text_col, lambda s: bits(lowest(s, WIDE)))
     open_ = saved(open_.join(wide.withColumnRenamed("s", "wide"), "id"), "open-wide")
-    side = lambda s: open_.select(F.col("wide").alias(f"wide_{s}"), "key", F.col("id").alias(s), F.col("c").alias(f"c_{s}"), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("first").alias(f"first_{s}"))
+    side = lambda s: open_.select(F.col("wide").alias(f"wide_{s}"), F.col("places").alias(f"places_{s}"), "key", F.col("id").alias(s), F.col("c").alias(f"c_{s}"), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("first").alias(f"first_{s}"))
     cross = side("a").filter("c_a <> first_a").join(side("b"), "key").filter(
-        "c_a <> c_b AND (c_b = first_b OR a < b)").filter(_close("a", "b") & _close_wide())
+        "c_a <> c_b AND (c_b = first_b OR a < b)").filter(_close("a", "b") & _close_wide() & _once())
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = saved(cross.join(near, ["a", "b"], "left_anti"), "cross-pairs")
     if not more.isEmpty():
