@@ -5,20 +5,20 @@ with a smaller id. Sorting all suffixes of the corpus would move every byte many
 windows that can have an equal elsewhere are sorted:
 
 1. Anchors. The lowest hash of the Q-byte substrings of a window is its anchor; equal windows
-   have equal anchors at equal offsets. Each batch sends its distinct anchor hashes to
+   have equal anchors at equal offsets. Each block of documents sends its distinct anchor hashes to
    hash-range buckets, which answer with those that occur in two documents or more.
 2. Records. For shared anchors a block of documents sends the bytes around the anchor, once per
-   distinct content, with the smallest id that has it. (Anchors found in very many batches send
+   distinct content, with the smallest id that has it. (Anchors found in very many blocks send
    one record per window instead, so that the records of a common passage and its many different
    surroundings spread over all buckets.)
 3. Suffix sort. A bucket sorts the window suffixes of each anchor and offset: prefix polynomial
    hashes, common extensions by binary search over lengths, mergesort on those comparisons.
    Neighbours with a common extension of a whole window form a class, verified byte by byte;
    the class's smallest id decides which windows are covered.
-4. Blocks turn the answers into covered bytes. Both passes over the texts read one shuffle.
+4. Blocks turn the answers into covered bytes. All three passes over the texts read one shuffle.
 
 A task holds one block (about ``BLOCK`` bytes of text, or one document) or one bucket; a hot
-passage counts once per batch or block in its bucket.
+passage counts once per block in its bucket.
 
 Defined results: texts are UTF-8 bytes, a null text is empty; matches never cross documents;
 windows are judged on the input; texts under 50 bytes stay; rows that repeat an id don't cover
@@ -38,15 +38,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, saved, text_of
+from .common import documents, text_of
 
 WINDOW, Q = 50, 16
 SPAN = WINDOW - Q            # an anchor is at most so many bytes behind its window's start
 WIDTH = SPAN + WINDOW        # bytes around an anchor that its windows can cover
 CHUNK, BLOCK = 1 << 20, 2 << 20
-ANCHORS_PER_BUCKET, RECORDS_PER_BUCKET, BATCH = 500_000, 40_000, 6 << 20
-#: Batches with the same anchor beyond which it is sent window by window.
-COMMON = 256
+ANCHORS_PER_BUCKET, SORTED_TEXT = 500_000, 4 << 20
+#: Blocks with the same anchor beyond which it is sent window by window.
+COMMON = 20_000
 _LAST = np.iinfo(np.int64).max
 _PLACE = np.uint64((1 << 28) - 1)
 U = np.uint64
@@ -140,31 +140,24 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of about BATCH bytes of text."""
-    sizes = np.cumsum([len(t.as_buffer()) for t in batch.column(1)])
-    cuts = np.flatnonzero(np.diff(sizes // BATCH)) + 1 if len(sizes) else []
-    for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-        yield batch.slice(a, b - a)
-
-
 def _anchor_messages(buckets: int):
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in _parts(whole)):
-            block = batch.column(0).to_numpy(zero_copy_only=False)
-            found = [(c.row[c.of], c.hash) for c in _chunks(batch.column(1).to_pylist())]
-            row = np.concatenate([np.empty(0, np.int64), *[f[0] for f in found]])
-            hashes = np.concatenate([np.empty(0, np.uint64), *[f[1] for f in found]])
-            order = np.lexsort((row, hashes, block[row]))
-            row, hashes, home = row[order], hashes[order], block[row[order]]
-            same = (hashes[1:] == hashes[:-1]) & (home[1:] == home[:-1])
-            start = np.flatnonzero(np.append(True, ~same)) if len(hashes) else np.empty(0, np.int64)
-            several = np.add.reduceat(np.append(False, same & (row[1:] != row[:-1])), start) > 0 if len(start) else np.empty(0, bool)
-            hashes, home = hashes[start] | several.astype(np.uint64), home[start]
-            bucket = _bucket(hashes, buckets)
-            cut = np.flatnonzero(np.append(True, (home[1:] != home[:-1]) | (bucket[1:] != bucket[:-1]))) if len(hashes) else start
-            blobs = [hashes[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(hashes)))]
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cut]), pa.array(home[cut]), pa.array(blobs, pa.binary())], ["bucket", "block", "hashes"])
+    """A block's distinct anchors by bucket; the lowest bit marks those of several of its documents."""
+    def send(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        found = [(c.row[c.of], c.hash) for c in _chunks(group["_text"].tolist())]
+        row = np.concatenate([np.empty(0, np.int64), *[f[0] for f in found]])
+        hashes = np.concatenate([np.empty(0, np.uint64), *[f[1] for f in found]])
+        order = np.lexsort((row, hashes))
+        row, hashes = row[order], hashes[order]
+        if not len(hashes):
+            return pd.DataFrame([], columns=["bucket", "block", "hashes"])
+        same = hashes[1:] == hashes[:-1]
+        start = np.flatnonzero(np.append(True, ~same))
+        several = np.add.reduceat(np.append(False, same & (row[1:] != row[:-1])), start) > 0
+        hashes = hashes[start] | several.astype(np.uint64)
+        bucket = _bucket(hashes, buckets)
+        cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        rows = [(int(bucket[a]), int(key[0]), hashes[a:b].tobytes()) for a, b in zip(cut, np.append(cut[1:], len(hashes)))]
+        return pd.DataFrame(rows, columns=["bucket", "block", "hashes"])
     return send
 
 
@@ -432,14 +425,14 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     text = text_of(text_col).cast("binary")
     total = docs.agg(F.sum(F.octet_length(text_of(text_col)))).first()[0] or 0
-    blocks, buckets = math.ceil(total / BLOCK) + 1, math.ceil(total / 18 / ANCHORS_PER_BUCKET) + 1
-    buckets = max(buckets, min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = math.ceil(total / BLOCK) + 1
+    buckets = max(math.ceil(total / 18 / ANCHORS_PER_BUCKET), min(blocks, least))
+    sorters = max(math.ceil(total / SORTED_TEXT), min(blocks, least))
     rows = docs.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).alias("block"),
                        F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(_LAST))).alias("_id"), text.alias("_text"))
-    sent = rows.select("block", "_text").mapInArrow(_anchor_messages(buckets), "bucket bigint, block bigint, hashes binary")
-    shared = saved(sent.groupBy("bucket").applyInPandas(_shared_anchors(common), "block bigint, hashes binary"), "shared-anchors")
-    anchors = (shared.agg(F.sum(F.length("hashes"))).first()[0] or 0) // 8
-    sorters = max(anchors // RECORDS_PER_BUCKET + 1, min(anchors // 1000 + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    sent = rows.groupBy("block").applyInPandas(_anchor_messages(buckets), "bucket bigint, block bigint, hashes binary")
+    shared = sent.groupBy("bucket").applyInPandas(_shared_anchors(common), "block bigint, hashes binary")
     messages = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(
         _record_messages(sorters), "bucket bigint, block bigint, ids binary, records binary")
     masks = messages.groupBy("bucket").applyInPandas(_sort_bucket, "block bigint, bucket bigint, masks binary")
