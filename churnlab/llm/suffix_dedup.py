@@ -43,10 +43,10 @@ from .common import documents, text_of
 WINDOW, Q = 50, 16
 SPAN = WINDOW - Q            # an anchor is at most so many bytes behind its window's start
 WIDTH = SPAN + WINDOW        # bytes around an anchor that its windows can cover
-CHUNK, BLOCK = 1 << 20, 2 << 20
-ANCHORS_PER_BUCKET, SORTED_TEXT = 500_000, 4 << 20
+CHUNK, BLOCK = 1 << 19, 2 << 20
+ANCHORS_PER_BUCKET, SORTED_TEXT, SORTED_WINDOWS = 250_000, 4 << 20, 150_000
 #: Blocks with the same anchor beyond which it is sent window by window.
-COMMON = 20_000
+COMMON = 1_000
 _LAST = np.iinfo(np.int64).max
 _PLACE = np.uint64((1 << 28) - 1)
 U = np.uint64
@@ -318,11 +318,22 @@ def covered_windows(records: np.ndarray, ids: np.ndarray, seed: int = 11) -> np.
     ``records`` are sorted by key. Windows of one key and offset are a group.
     """
     masks = np.zeros(len(records), np.uint64)
-    if not len(records):
-        return masks
+    total = int((records["high"].astype(np.int64) - records["low"] + 1).sum())
+    parts = min(-(-total // SORTED_WINDOWS), SPAN + 1)
+    for part in range(parts):  # groups of different offsets don't meet
+        masks |= _covered(records, ids, seed, part, parts)
+    return masks
+
+
+def _covered(records: np.ndarray, ids: np.ndarray, seed: int, part: int, parts: int) -> np.ndarray:
+    masks = np.zeros(len(records), np.uint64)
     count = records["high"].astype(np.int64) - records["low"] + 1
-    record = np.repeat(np.arange(len(records)), count)
-    offset = np.arange(len(record)) - np.repeat(np.cumsum(count) - count, count) + records["low"][record]
+    record = np.repeat(np.arange(len(records), dtype=np.int32), count)
+    offset = (np.arange(len(record)) - np.repeat(np.cumsum(count) - count, count) + records["low"][record]).astype(np.int32)
+    if parts > 1:
+        record, offset = record[offset % parts == part], offset[offset % parts == part]
+        if not len(record):
+            return masks
     group = np.cumsum(np.append(0, records["key"][1:] != records["key"][:-1]))[record] * 64 + offset
     order = np.argsort(group, kind="stable")
     record, offset, group = record[order], offset[order], group[order]
@@ -367,7 +378,7 @@ def _sort_bucket(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     masks, keys = np.empty(len(records), np.uint64), records["key"][order]
     begin = 0
     while begin < len(order):  # whole keys, some thousand records at a time
-        end = int(np.searchsorted(keys, keys[min(begin + 8_000, len(order) - 1)], "right"))
+        end = int(np.searchsorted(keys, keys[min(begin + 4_000, len(order) - 1)], "right"))
         part = order[begin:end]
         masks[part] = covered_windows(records[part], ids[part])
         begin = end

@@ -92,5 +92,16 @@ def test_a_collision_is_sorted_again(monkeypatch):
     assert got.tolist() == [0, 0b10000] and seeds == [11, 12]
 
 
+def test_offsets_in_parts_give_the_same(monkeypatch):
+    rng = np.random.default_rng(6)
+    records = np.zeros(80, S.RECORD)
+    records["key"], records["low"], records["high"] = np.sort(rng.integers(0, 9, 80)), rng.integers(0, 5, 80), rng.integers(5, S.SPAN + 1, 80)
+    records["bytes"] = np.repeat(rng.integers(0, 2, (8, S.WIDTH)), 10, 0)
+    ids = rng.integers(0, 50, 80)
+    whole = S.covered_windows(records, ids)
+    monkeypatch.setattr(S, "SORTED_WINDOWS", 300)
+    assert whole.any() and (S.covered_windows(records, ids) == whole).all()
+
+
 def test_empty_table(spark):
     assert S.drop_repeated_passages(docs_frame(spark, [])).collect() == []
