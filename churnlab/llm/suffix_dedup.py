@@ -115,7 +115,8 @@ class Chunk:
         new[1:] = chosen[1:] != chosen[:-1]
         self.place, self.first = chosen[new], at[new]
         self.last = at[np.append(new[1:], True)] if len(at) else at
-        self.hash = grams[self.place] & ~U(1)
+        # an anchor is the lowest of many hashes: mixed again, so that buckets by range are even
+        self.hash = _mixed(grams[self.place] ^ U(0x9E3779B97F4A7C15)) & ~U(1)
         self.of = np.searchsorted(self.starts, self.place, "right") - 1
 
 
