@@ -196,7 +196,7 @@ def missing_ratio(df: DataFrame) -> DataFrame:
     """NULL cells over all cells (id excluded)."""
     cols = data_columns(df)
     nulls = sum((F.count_if(F.col(c).isNull()) for c in cols), F.lit(0))
-    return df.agg(F.round(nulls / (F.count(F.lit(1)) * F.lit(len(cols))), 8).alias("missing_ratio"))
+    return df.agg(F.round(F.try_divide(nulls, F.count(F.lit(1)) * F.lit(len(cols))), 8).alias("missing_ratio"))
 
 
 # ---------------------------------------------------------------- imputation / encoding

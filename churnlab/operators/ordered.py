@@ -150,12 +150,13 @@ def ks_2samp(ref: DataFrame, new: DataFrame, cols: list[str], with_p: bool = Tru
     gap = F.abs(F.try_divide(F.col("cum_a"), F.col("n_ref")) - F.try_divide(F.col("cum_b"), F.col("n_new")))
     out = c.groupBy("feature").agg(F.max(gap).alias("ks_statistic"),
                                    F.first("n_ref").alias("n_ref"), F.first("n_new").alias("n_new"))
-    out = out.select("feature", F.round("ks_statistic", 6).alias("ks_statistic"),
+    out = out.select("feature", "ks_statistic",
                      F.col("n_ref").cast("bigint").alias("n_ref"), F.col("n_new").cast("bigint").alias("n_new"))
     if with_p:
         out = out.withColumn("p_value", p_ks(F.col("ks_statistic"), F.col("n_ref"), F.col("n_new")))
         out = out.withColumn("drift_detected", F.coalesce(F.col("p_value") < alpha, F.lit(False)))
-    return out
+    # the statistic is rounded for display only, after the p-value and the flag
+    return out.withColumn("ks_statistic", F.round("ks_statistic", 6))
 
 
 def _score_table(df: DataFrame, score: str, label: str, keys: list[str]) -> DataFrame:
@@ -172,9 +173,11 @@ def roc_auc(df: DataFrame, score: str, label: str, keys: list[str] | None = None
     t = _score_table(df, score, label, keys)
     c = prefix_sums(t, keys, "score", ["neg"])
     part = c.groupBy(*keys).agg(
-        F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") * F.lit(0.5))).alias("s"),
+        F.sum((F.col("pos").cast("decimal(18,0)") * (F.col("cum_neg") * 2 - F.col("neg")).cast("decimal(19,0)"))
+              .cast("decimal(38,0)")).alias("s"),  # twice the rank sum, exact at any count
         F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return part.select(*keys, F.try_divide(F.col("s"), F.col("P") * F.col("N")).alias("roc_auc"),
+    whole = F.col("P").cast("double") * F.col("N").cast("double") * F.lit(2.0)
+    return part.select(*keys, F.try_divide(F.col("s").cast("double"), whole).alias("roc_auc"),
                        F.col("P").cast("bigint").alias("positives"), F.col("N").cast("bigint").alias("negatives"))
 
 

@@ -259,14 +259,9 @@ def kde(df: DataFrame, cols: list[str], by: str = S.LABEL, grid: int = 100) -> D
                       F.round(dens, 9).alias("density")).orderBy("feature", by, "i")
 
 
-def pair_sample(df: DataFrame, cols: list[str], n: int = 1000, seed: int = 42) -> DataFrame:
-    """A bounded, deterministic sample of low-dimensional numeric rows tagged by class.
-
-    A sampling operator: the limit is the feature. Order by a seeded hash of the id, so the same
-    rows come back on every run and retry.
-    """
-    return (df.select(S.ID, S.LABEL, *cols)
-            .orderBy(F.xxhash64(F.col(S.ID), F.lit(seed)), S.ID).limit(n))
+def pair_table(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The class-tagged columns of a pair plot, every row."""
+    return df.select(S.ID, S.LABEL, *cols)
 
 
 def value_range(df: DataFrame, col: str) -> DataFrame:
@@ -313,9 +308,10 @@ def best_by(df: DataFrame, metric: str = "roc_auc", position: str = "position")
 
 
 def latest(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """K4: the newest record (``max_by`` over a struct of all columns, one aggregate)."""
+    """K4: the newest record (one aggregate); of equal timestamps the largest by the columns in order."""
     s = F.struct(*[F.col(c) for c in df.columns])
-    return df.agg(F.max_by(s, F.col(ts)).alias("r")).select("r.*")
+    ordered = [c for c, t in df.dtypes if "map<" not in t and c != ts]
+    return df.agg(F.max_by(s, F.struct(ts, *ordered)).alias("r")).select("r.*")
 
 
 def first_n(values: Column, n: int = 5) -> Column:

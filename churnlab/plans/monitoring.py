@@ -148,9 +148,10 @@ def champion_challenger(new_auc: Column, prod_auc: Column, min_improvement: floa
 
 
 def days_since(last_ts: Column, now: Column | None = None) -> Column:
-    """Whole days since the last retraining (NULL when never retrained)."""
+    """Whole 24-hour days since the last retraining (NULL when never retrained)."""
     now = now if now is not None else F.current_timestamp()
-    return F.datediff(F.to_date(now), F.to_date(last_ts))
+    elapsed = F.unix_timestamp(now.cast("timestamp")) - F.unix_timestamp(last_ts.cast("timestamp"))
+    return F.floor(elapsed / 86_400).cast("int")
 
 
 def cooldown_gate(history: DataFrame, cooldown_days: int = 0, now: Column | None = None) -> DataFrame:

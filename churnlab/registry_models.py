@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import oracle_sql as O
 from . import schema as S
 from .operators import attribute as AT
 from .operators import models as MD
@@ -115,9 +116,11 @@ def q_linear_attribution(spark, sf):
     return AT.top_attributions(attr).select(S.ID, F.round("base_value", 4).alias("base_value"), "top_shap_features")
 
 
-@register("pair_sample")
+PAIR_COLS = ["total_day_minutes", "total_eve_minutes", "customer_service_calls", "international_plan"]
+
+
+@register("pair_sample", O.with_blocks(O.FEATURES, f"SELECT {S.ID}, {S.LABEL}, {', '.join(PAIR_COLS)} FROM features"))
 def q_pair_sample(spark, sf):
-    """A deterministic 1000-row class-tagged sample of four usage columns (a sampling operator)."""
+    """The columns of the pair plot with the class, over the whole table."""
     from .operators import profile as P
-    return P.pair_sample(features(spark, sf), ["total_day_minutes", "total_eve_minutes",
-                                               "customer_service_calls", "total_intl_minutes"], 1000)
+    return P.pair_table(features(spark, sf), PAIR_COLS)

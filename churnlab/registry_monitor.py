@@ -140,7 +140,7 @@ def _ks_rows_sql(kind="drift"):
 def _ks_with_p_sql():
     base = _ks_rows_sql("drift")
     return base.replace("  SELECT feature, ROUND(MAX(ABS(ca / NULLIF(na, 0) - cb / NULLIF(nb, 0))), 6) AS ks_statistic",
-                        "  , ks AS (SELECT feature, ROUND(MAX(ABS(ca / NULLIF(na, 0) - cb / NULLIF(nb, 0))), 6) AS ks_statistic") \
+                        "  , ks AS (SELECT feature, MAX(ABS(ca / NULLIF(na, 0) - cb / NULLIF(nb, 0))) AS ks_statistic") \
         .rstrip() + ")"
 
 
@@ -150,7 +150,8 @@ _KS_P = _ks_with_p_sql() + f"""
 
 
 @register("ks_pvalues_drift_split", _KS_P + """
-  SELECT feature, ks_statistic, n_ref, n_new, ROUND(p_value, 6) AS p_value, p_value < 0.05 AS drift_detected FROM ksp""")
+  SELECT feature, ROUND(ks_statistic, 6) AS ks_statistic, n_ref, n_new, ROUND(p_value, 6) AS p_value,
+         p_value < 0.05 AS drift_detected FROM ksp""")
 def q_ks_p(spark, sf):
     ref, new = _drift_split(spark, sf, "drift")
     return W.ks_2samp(ref, new, DRIFT_FEATURES).withColumn("p_value", F.round("p_value", 6))

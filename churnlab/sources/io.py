@@ -73,9 +73,8 @@ def write_batch(df: DataFrame, base: str, ts: str | None = None) -> str:
 def read_batches(spark: SparkSession, base: str, required: list[str], batches: list[str] | None = None) -> DataFrame:
     """All landed batches that carry every required column, as one table.
 
-    Batches are partitions of one Parquet dataset; schemas are merged, and a batch whose files
-    lack a required column (all NULL after the merge) is skipped with a per-batch count, not a
-    per-file driver loop.
+    Batches are partitions of one Parquet dataset. A batch conforms by its column names, read from
+    its files' footers (one schema per batch, no data), so a column of NULLs is no reason to drop it.
     """
     df = spark.read.option("mergeSchema", True).parquet(base)
     if batches is not None:
@@ -83,9 +82,10 @@ def read_batches(spark: SparkSession, base: str, required: list[str], batches: l
     have = [c for c in required if c in df.columns]
     if len(have) < len(required):
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.DoubleType()) for c in required]))
-    ok = (df.groupBy("batch_ts").agg(*[F.count(c).alias(c) for c in required])
-          .where(" AND ".join(f"`{c}` > 0" for c in required)).select("batch_ts"))
-    return df.join(F.broadcast(ok), "batch_ts", "left_semi").select(*required, "batch_ts")
+    landed = [r[0] for r in df.select(F.col("batch_ts").cast("string")).distinct().collect()]
+    names = {b: set(spark.read.parquet(f"{base}/batch_ts={b}").columns) for b in landed}
+    ok = [b for b in landed if names[b].issuperset(required)]
+    return df.where(F.col("batch_ts").cast("string").isin(ok)).select(*required, "batch_ts")
 
 
 def write_report(df: DataFrame, path: str) -> None:
