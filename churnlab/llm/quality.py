@@ -130,7 +130,9 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     weights = fit_ratio(docs, trusted_ids(labels, id_col, max_trusted), id_col, text_col, buckets)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                        F.col(text_col).alias("_body"))
-    kept = _scored(base_counts_of(rows), weights, buckets, min_ratio).filter("kept")
+    # a row number beside the verdict keeps the filter above it; pushed down, it would repeat all counts
+    scored = _scored(base_counts_of(rows), weights, buckets, min_ratio).withColumn("_at", F.monotonically_increasing_id())
+    kept = scored.filter("kept AND _at >= 0")
     return kept.select("_row.*")
 
 
