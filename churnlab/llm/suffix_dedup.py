@@ -369,20 +369,37 @@ def _really_equal(content: np.ndarray, record, offset, at: np.ndarray) -> bool:
     return True
 
 
+def _bucket_masks(records: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """:func:`covered_windows` over records in any order, some thousand at a time.
+
+    Equal records of several blocks are sorted once, under their smallest id; for larger ids all
+    their windows are covered.
+    """
+    flat = records.view(np.dtype((np.void, RECORD.itemsize)))
+    _, at, back = np.unique(flat, return_index=True, return_inverse=True)
+    back = back.reshape(-1)
+    least = np.full(len(at), _LAST)
+    np.minimum.at(least, back, ids)
+    distinct = records[at]
+    order = np.argsort(distinct["key"], kind="stable")
+    found, keys = np.empty(len(at), np.uint64), distinct["key"][order]
+    begin = 0
+    while begin < len(order):  # whole keys
+        end = int(np.searchsorted(keys, keys[min(begin + 4_000, len(order) - 1)], "right"))
+        part = order[begin:end]
+        found[part] = covered_windows(distinct[part], least[part])
+        begin = end
+    low, count = records["low"].astype(np.uint64), records["high"].astype(np.uint64) - records["low"] + U(1)
+    return np.where(ids > least[back], ((U(1) << count) - U(1)) << low, found[back])
+
+
 def _sort_bucket(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     from zstandard import ZstdDecompressor
     unpacker = ZstdDecompressor()
     parts = [np.frombuffer(unpacker.decompress(r), RECORD) for r in group["records"]]
     records = np.concatenate(parts)
     ids = np.concatenate([np.frombuffer(x, np.int64) for x in group["ids"]])
-    order = np.argsort(records["key"], kind="stable")
-    masks, keys = np.empty(len(records), np.uint64), records["key"][order]
-    begin = 0
-    while begin < len(order):  # whole keys, some thousand records at a time
-        end = int(np.searchsorted(keys, keys[min(begin + 4_000, len(order) - 1)], "right"))
-        part = order[begin:end]
-        masks[part] = covered_windows(records[part], ids[part])
-        begin = end
+    masks = _bucket_masks(records, ids)
     ends = np.cumsum([len(p) for p in parts])
     return pd.DataFrame({"block": group["block"], "bucket": int(key[0]),
                          "masks": [masks[e - len(p):e].tobytes() for e, p in zip(ends, parts)]})
