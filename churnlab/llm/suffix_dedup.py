@@ -263,23 +263,34 @@ class Suffixes:
     def __init__(self, content: np.ndarray, seed: int):
         values, powers, _ = _family(seed, WIDTH + 1)
         self.content = content
-        self.prefix = np.zeros((len(content), WIDTH + 1), np.uint64)
-        np.cumsum(values[content] * powers[:WIDTH], axis=1, out=self.prefix[:, 1:])
+        prefix = np.zeros((len(content), WIDTH + 1), np.uint64)
+        np.cumsum(values[content] * powers[:WIDTH], axis=1, out=prefix[:, 1:])
+        self.prefix = prefix.reshape(-1)
+
+    def at(self, record, offset) -> np.ndarray:
+        """Places of suffixes in the prefix hashes."""
+        return record.astype(np.int64) * (WIDTH + 1) + offset
+
+    def apart(self, a, b) -> np.ndarray:
+        """Difference of prefix hashes at two places: it stays the same over equal bytes (offsets are equal)."""
+        return self.prefix.take(a) - self.prefix.take(b)
 
     def agree(self, a, b, offset, length) -> np.ndarray:
-        """Whether the first ``length`` bytes of two suffixes have equal hashes (offsets are equal)."""
-        p = self.prefix
-        return p[a, offset + length] - p[a, offset] == p[b, offset + length] - p[b, offset]
+        """Whether the first ``length`` bytes of two suffixes have equal hashes."""
+        a, b = self.at(a, offset), self.at(b, offset)
+        return self.apart(a + length, b + length) == self.apart(a, b)
 
     def compare(self, a, b, offset) -> np.ndarray:
         """-1, 0 or 1: whole windows first, else the common extension by binary search, then one byte."""
         out = np.zeros(len(a), np.int8)
-        todo = np.flatnonzero(~self.agree(a, b, offset, WINDOW))
-        a, b, offset = a[todo], b[todo], offset[todo]
+        x, y = self.at(a, offset), self.at(b, offset)
+        begin = self.apart(x, y)
+        todo = np.flatnonzero(self.apart(x + WINDOW, y + WINDOW) != begin)
+        a, b, offset, x, y, begin = a[todo], b[todo], offset[todo], x[todo], y[todo], begin[todo]
         low, high = np.zeros(len(todo), np.int64), np.full(len(todo), WINDOW - 1)
         while (low < high).any():
             middle = (low + high + 1) >> 1
-            ok = self.agree(a, b, offset, middle)
+            ok = self.apart(x + middle, y + middle) == begin
             low, high = np.where(ok, middle, low), np.where(ok, high, middle - 1)
         x, y = self.content[a, offset + low], self.content[b, offset + low]
         out[todo] = np.where(x < y, -1, 1)
