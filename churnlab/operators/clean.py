@@ -282,7 +282,7 @@ def fit_levels(df: DataFrame, col: str = "state", max_levels: int = 10000) -> li
     levels = [r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col)
               .limit(max_levels + 1).collect()]
     if len(levels) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels; use one_hot_vector instead")
+        raise ValueError(f"{col} has more than {max_levels} levels: too many for a column each")
     return levels
 
 
@@ -291,13 +291,22 @@ def one_hot(df: DataFrame, col: str = "state", levels: list[str] | None = None,
     """``<col>_<level>`` 0/1 columns for the fitted levels, first dropped; source dropped.
 
     A NULL value gives all zeros. A level unseen at fit time also gives all zeros, so a new
-    batch never changes the schema.
+    batch never changes the schema. Levels whose safe names are equal ("a b", "a-b") get a column
+    each: from the second one on, the level's place among the fitted levels is added to the name.
     """
     if col not in df.columns:
         return df
     levels = fit_levels(df, col) if levels is None else levels
     keep = levels[1:] if drop_first else levels
-    cols = {f"{col}_{S.safe_name(lv)}": flag(F.col(col) == F.lit(lv)) for lv in keep}
+    plain = {f"{col}_{S.safe_name(lv)}".lower() for lv in levels}  # column names ignore case
+    cols, used = {}, set()
+    for place, lv in enumerate(levels):
+        name = f"{col}_{S.safe_name(lv)}"
+        while name.lower() in used or name.lower() in plain and name != f"{col}_{S.safe_name(lv)}":
+            name = f"{name}_{place}"
+        used.add(name.lower())
+        if lv in keep:
+            cols[name] = flag(F.col(col) == F.lit(lv))
     return df.withColumns(cols).drop(col)
 
 

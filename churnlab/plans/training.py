@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,7 +102,9 @@ def monitoring_cycle(spark: SparkSession, out_dir: str, reference: DataFrame, ba
     hist_path = f"{out_dir}/retraining"
     try:
         hist = spark.read.parquet(hist_path)
-    except Exception:  # noqa: BLE001  (no retraining yet)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         hist = spark.createDataFrame([], "timestamp timestamp")
     gate = M.cooldown_gate(hist.select(F.col("timestamp").cast("timestamp").alias("timestamp")), cooldown_days).first()
     if not gate["allowed"]:

@@ -115,3 +115,11 @@ def test_round_and_band(spark):
     pred, band = C.churn_band("p")
     got = [tuple(r) for r in df.select(pred, band).collect()]
     assert got == [(False, "Low"), (True, "High"), (False, "Low")]
+
+
+def test_one_hot_levels_with_equal_safe_names(spark):
+    df = spark.createDataFrame([("a b",), ("a-b",), ("c",), (None,)], "state string")
+    out = C.one_hot(df, "state", levels=["a b", "a-b", "c"], drop_first=False)
+    assert len(out.columns) == 3
+    assert [tuple(r) for r in out.collect()] == [(1, 0, 0), (0, 1, 0), (0, 0, 1), (0, 0, 0)]
+    assert out.columns[1:] == C.one_hot(df, "state", levels=["a b", "a-b", "c"]).columns
