@@ -21,7 +21,8 @@ on its key and text alone, not on batches or machines.
 Defined results: a null or empty text has one segmentation without pieces (log probability 0,
 inclusion 1); a text with fewer than k segmentations emits all of them; equal ids with equal texts
 get equal samples; a null id is a key of its own; an empty table gives an empty result; extra
-columns are ignored. Characters without a piece become byte pieces. ``decode`` inverts every sample.
+columns are ignored. Characters without a piece, a space mark written in the text too, become byte pieces. ``decode``
+inverts every sample.
 """
 
 from __future__ import annotations
@@ -39,9 +40,7 @@ from .common import documents, text_of
 
 MODEL, SAMPLES, RANK_SHIFT, SEED = "piece_bpe_32k.model", 2, 10.0, 20240301
 SPACE = "▁"
-#: A noncharacter that stands for a space mark written in the text itself, which becomes byte pieces.
-WRITTEN = "\U0010FFFF"
-UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+UNITS = re.compile(" *[^ ]+| +")
 STORE_WORDS, BATCH_CHARS = 150_000, 1_500_000
 U = np.uint64
 
@@ -70,80 +69,144 @@ def vocabulary(file: str):
     return known, weight, byte, pieces
 
 
+@lru_cache(maxsize=2)
+def byte_trie(file: str) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces as a trie of UTF-8 bytes, space marks as plain spaces.
+
+    (state * 256 + byte -> next state or 0, state -> piece id or -1). State 0 is the root; states
+    without a row in the first array are leaves.
+    """
+    known = vocabulary(file)[0]
+    children, piece_of = [{}], [-1]
+    for piece, i in known.items():
+        if i < 0:
+            continue
+        if " " in piece or "\0" in piece:
+            raise ValueError(f"piece {piece!r} holds a separator")
+        state = 0
+        for b in piece.replace(SPACE, " ").encode():
+            state = children[state].setdefault(b, len(children))
+            if state == len(children):
+                children.append({})
+                piece_of.append(-1)
+        piece_of[state] = i
+    inner = [s for s, c in enumerate(children) if c]
+    number = np.empty(len(children), np.int32)
+    number[inner + [s for s, c in enumerate(children) if not c]] = np.arange(len(children))
+    step = np.zeros((len(inner), 256), np.int32)
+    for row, s in enumerate(inner):
+        step[row, list(children[s])] = number[list(children[s].values())]
+    pieces = np.empty(len(children), np.int32)
+    pieces[number] = piece_of
+    return step.ravel(), pieces
+
+
 class Lattices:
     """The lattices of distinct words, one after another, as flat arrays.
 
-    A node is a place in a word. Edges are sorted by their node; ``ladder`` has the node's number
-    plus the running probability, so that one search over it draws an edge for any node.
+    A node is a byte of a word, or its end; edges are sorted by their node and then by length, with
+    the byte pieces of a character that has no piece last. ``running`` is the probability of a
+    node's edges up to and with this one.
     """
 
     def __init__(self, file: str):
-        self.known, self.weight, self.byte, _ = vocabulary(file)
+        self.weight, self.byte = vocabulary(file)[1:3]
+        self.step, self.piece_of = byte_trie(file)
         self.clear()
 
     def clear(self):
         self.words: dict[str, int] = {}          # word -> its first node
-        self.mass = np.empty(0)                  # log sum over the word's segmentations from a node on
+        self.size = 0
         self.first = np.zeros(1, np.int64)       # node -> first edge
-        self.target, self.log_p, self.log_w, self.ladder = np.empty(0, np.int64), np.empty(0), np.empty(0), np.empty(0)
+        self.source, self.target = np.empty(0, np.int32), np.empty(0, np.int32)
+        self.log_p, self.running = np.empty(0), np.empty(0)
         self.ids, self.id_from = np.empty(0, np.int32), np.zeros(1, np.int64)   # edge -> ids
 
+    def matches(self, data: np.ndarray, at: np.ndarray, width: np.ndarray):
+        """(source, target, id or -1, rank among the source's edges) of all edges, and edges a node.
+
+        All places walk the trie together, a byte a round.
+        """
+        count, single = np.zeros(len(data), np.int64), np.zeros(len(data), bool)
+        found, place, state, depth = [], at, np.zeros(len(at), np.int32), 0
+        rows = len(self.step) >> 8
+        while len(place):
+            state = self.step[(state.astype(np.int64) << 8) + data[place + depth]]
+            depth += 1
+            piece = self.piece_of[state]
+            hit = np.flatnonzero(piece >= 0)
+            source = place[hit]
+            found.append((source, source + depth, piece[hit], count[source]))
+            count[source] += 1
+            single[source[width[source] == depth]] = True
+            more = (state > 0) & (state < rows)
+            place, state = place[more], state[more]
+        lone = at[~single[at]]
+        found.append((lone, lone + width[lone], np.full(len(lone), -1, np.int32), count[lone]))
+        count[lone] += 1
+        return (*(np.concatenate(x) for x in zip(*found)), count)
+
     def add(self, words: list[str]):
         """Append the lattices of new words."""
-        known, byte, base = self.known, self.byte, len(self.mass)
-        source, target, ids, sizes, place, last, node = [], [], [], [], [], [], base
-        for word in words:
-            self.words[word] = node
-            n = len(word)
-            for i in range(n):
-                alone = True
-                for j in range(i + 1, n + 1):
-                    piece = known.get(word[i:j])
-                    if piece is None:
-                        break
-                    if piece >= 0:
-                        source.append(node + i)
-                        target.append(node + j)
-                        ids.append(piece)
-                        sizes.append(1)
-                        alone = alone and j > i + 1
-                if alone:  # no piece for this character
-                    codes = [int(byte[b]) for b in word[i].replace(WRITTEN, SPACE).encode()]
-                    source.append(node + i)
-                    target.append(node + i + 1)
-                    ids += codes
-                    sizes.append(len(codes))
-            place.append(np.arange(n + 1))
-            last.append(n)
-            node += n + 1
-        source, target, sizes = np.array(source, np.int64), np.array(target, np.int64), np.array(sizes, np.int64)
-        flat = np.array(ids, np.int64)
+        base = self.size
+        data = np.frombuffer(("\0".join(words) + "\0").encode(), np.uint8)
+        char = np.flatnonzero((data & 0xC0) != 0x80)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        begin = np.append(0, char[ends[:-1]] + 1)
+        self.words.update(zip(words, (base + begin).tolist()))
+        width = np.zeros(len(data), np.int64)
+        width[char] = np.diff(np.append(char, len(data)))
+        source, target, piece, rank, count = self.matches(data, np.delete(char, ends), width)
+        first = np.cumsum(count) - count
+        slot = np.empty(len(source), np.int64)
+        slot[first[source] + rank] = np.arange(len(source))
+        source, target, piece = source[slot], target[slot], piece[slot]
+        sizes = np.where(piece < 0, target - source, 1)
         start = np.cumsum(sizes) - sizes
+        flat = np.repeat(piece, sizes)
+        lone = np.flatnonzero(flat < 0)
+        edge = np.repeat(np.arange(len(sizes)), sizes)[lone]
+        flat[lone] = self.byte[data[source[edge] + lone - start[edge]]]
         log_w = np.add.reduceat(self.weight[flat], start)
         # suffix masses: places from the last to the first, all words together
-        where = np.concatenate(place)
-        mass = np.zeros(node - base)
-        order = np.argsort(-where[source - base], kind="stable")
-        steps = np.flatnonzero(np.diff(where[source - base][order])) + 1
-        for part in np.split(order, steps):
-            value, at = log_w[part] + mass[target[part] - base], source[part] - base
+        where = np.arange(len(data)) - np.repeat(begin, np.diff(np.append(begin, len(data))))
+        mass = np.zeros(len(data))
+        turn = where[source]
+        turn = turn.max() - turn
+        order = np.argsort(turn.astype(np.uint16) if turn.max() < 1 << 16 else turn, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(turn[order])) + 1):
+            value, at = log_w[part] + mass[target[part]], source[part]
             cut = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
             mass[at[cut]] = np.logaddexp.reduceat(value, cut)
-        log_p = log_w + mass[target - base] - mass[source - base]
-        p = np.exp(log_p)
-        running = np.cumsum(p)
-        cut = np.flatnonzero(np.append(True, source[1:] != source[:-1]))
-        before = np.repeat(running[cut] - p[cut], np.diff(np.append(cut, len(p))))
-        ladder = np.minimum(running - before, 1.0) + source
-        ladder[np.append(cut[1:], len(p)) - 1] = source[cut] + 1.0
+        log_p = log_w + mass[target] - mass[source]
+        running, node, n = np.exp(log_p), np.flatnonzero(count > 1), 1
+        while len(node):
+            running[first[node] + n] += running[first[node] + n - 1]
+            n += 1
+            node = node[count[node] > n]
+        node = np.flatnonzero(count)
+        running[first[node] + count[node] - 1] = 2.0
         edges = len(self.target)
-        self.mass = np.concatenate([self.mass, mass])
-        counts = np.bincount(source - base, minlength=node - base)
-        self.first = np.concatenate([self.first, edges + np.cumsum(counts)])
-        for name, more in (("target", target), ("log_p", log_p), ("log_w", log_w), ("ladder", ladder), ("ids", flat.astype(np.int32))):
-            setattr(self, name, np.concatenate([getattr(self, name), more]))
+        self.size = base + len(data)
+        self.first = np.concatenate([self.first, edges + np.cumsum(count)])
+        for name, more in (("source", source + base), ("target", target + base), ("log_p", log_p), ("running", running), ("ids", flat)):
+            old = getattr(self, name)
+            setattr(self, name, np.concatenate([old, more.astype(old.dtype)]))
         self.id_from = np.concatenate([self.id_from, self.id_from[-1] + np.cumsum(sizes)])
 
+    def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The edge of each node at which the running probability reaches ``u``."""
+        low, high = self.first[node], self.first[node + 1] - 1
+        free = np.flatnonzero(low < high)
+        while len(free):
+            a, b = low[free], high[free]
+            middle = (a + b) >> 1
+            up = self.running[middle] < u[free]
+            a, b = np.where(up, middle + 1, a), np.where(up, b, middle)
+            low[free], high[free] = a, b
+            free = free[a < b]
+        return low
+
     def nodes(self, words: list[str]) -> np.ndarray:
         """First node of every word."""
         new = list(dict.fromkeys(w for w in words if w not in self.words))
@@ -166,7 +229,7 @@ def drawn(lat: Lattices, node: np.ndarray, key: np.ndarray, index: np.ndarray, s
     alive = lat.first[node] < lat.first[node + 1]
     at, node = at[alive], node[alive]
     while len(at):
-        edge = np.searchsorted(lat.ladder, node + uniform(key[at], sample, index[at], step), "left")
+        edge = lat.draw(node, uniform(key[at], sample, index[at], step))
         found.append(edge)
         order.append(at)
         node = lat.target[edge]
@@ -203,7 +266,7 @@ class Search:
         if len(banned):
             left[fixed] -= np.exp(lat.log_p[banned]).sum()
         # a node with one edge left has nothing beside it, whatever rounding says
-        node = np.searchsorted(lat.first, edges, "right") - 1
+        node = lat.source[edges]
         more = lat.first[node + 1] - lat.first[node] > 1
         if len(banned):
             more[fixed] = lat.first[node[fixed] + 1] - lat.first[node[fixed]] > 1 + len(banned)
@@ -228,7 +291,7 @@ def _restart(lat: Lattices, s: list, key: np.uint64, turn: int) -> tuple[np.ndar
     top[best] = -np.inf
     s[2] = int(np.argmax(top))
     out = np.append(banned, edges[step]) if step == fixed else edges[step:step + 1]
-    node = int(np.searchsorted(lat.first, edges[step], "right")) - 1
+    node = int(lat.source[edges[step]])
     options = np.setdiff1d(np.arange(lat.first[node], lat.first[node + 1]), out)
     p = np.exp(lat.log_p[options])
     pick = options[min(int(np.searchsorted(np.cumsum(p) / p.sum(), uniform(key, turn, np.zeros(1), 1 << 21)[0])), len(options) - 1)]
@@ -237,7 +300,7 @@ def _restart(lat: Lattices, s: list, key: np.uint64, turn: int) -> tuple[np.ndar
 
 def sample_texts(lat: Lattices, keys: np.ndarray, texts: list[str], samples: int) -> list[list[tuple]]:
     """For each text its samples: (ids, log probability, perturbed value, inclusion)."""
-    units = [UNITS.findall(SPACE + t.replace(SPACE, WRITTEN).replace(" ", SPACE)) if t else [] for t in texts]
+    units = [UNITS.findall(" " + t) if t else [] for t in texts]
     if len(lat.words) > STORE_WORDS:
         lat.clear()
     sizes = np.array([len(u) for u in units], np.int64)

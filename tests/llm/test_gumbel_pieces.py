@@ -8,7 +8,7 @@ from churnlab.llm import gumbel_pieces as G
 
 from .helpers import docs_frame, real_docs
 
-ODD = ["", "a", " a  b ", "日本 é\t\n", "▁x", "the the", "x" * 300, " " * 40, "ﬁ①\U0001F600z"]
+ODD = ["", "a", " a  b ", "日本 é\t\n", "▁x", "a▁ ▁\U0010FFFF\0", "the the", "x" * 300, " " * 40, "ﬁ①\U0001F600z"]
 
 
 @pytest.fixture(scope="module")
@@ -81,7 +81,7 @@ def test_round_trip_distinct_and_repeatable(spark, model):
     for r in out:
         ids = np.frombuffer(r["ids"], "<i4")
         assert r["text"] == text[r["doc_id"]] and len(ids) == r["n_pieces"]
-        if r["doc_id"] != 1004:  # the library writes the mark itself as a space
+        if r["doc_id"] not in (1004, 1005):  # the library writes the mark itself as a space
             assert model.decode(ids.tolist()) == text[r["doc_id"]]
         seen.setdefault(r["doc_id"], {})[r["sample"]] = (r["ids"], r["log_prob"], r["perturbed"], r["inclusion"])
         assert r["log_prob"] <= 0 and 0 <= r["inclusion"] <= 1
