@@ -59,7 +59,7 @@ def fit_feature_stats(df: DataFrame) -> FeatureStats:
     if _present(df, S.MINUTE_COLS):
         mx = df.agg(F.max(clipped_total_minutes(df))).first()[0]
     if "total_intl_minutes" in df.columns:
-        from ..operators.ordered import column_quantiles  # exact median, size-checked plan
+        from ..operators.ordered import column_quantiles  # exact median
         md = column_quantiles(df, ["total_intl_minutes"], [0.5])["total_intl_minutes"][0]
     return FeatureStats(mx, md)
 

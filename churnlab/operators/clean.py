@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.features import drop_matching, flag  # noqa: F401  (P1 lives with the features)
-from .ordered import column_quantiles, quantiles
+from .ordered import column_quantiles, exact_quantiles_long
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -317,8 +317,7 @@ class IqrBounds:
 
 def fit_iqr(df: DataFrame, cols: list[str], factor: float = 1.5) -> IqrBounds:
     """C9 fit: [q1 - f*iqr, q3 + f*iqr] from exact, linearly interpolated quartiles
-    (``ordered.column_quantiles``: in-memory percentile under a distinct-count check, else the
-    distributed prefix-sum form)."""
+    (``ordered.column_quantiles``)."""
     qs = column_quantiles(df, cols, [0.25, 0.75])
     out = {}
     for c in cols:
@@ -351,7 +350,7 @@ def outlier_summary(df: DataFrame, cols: list[str], factor: float = 1.5) -> Data
     feature); the fences join back on the feature name (one row per feature).
     """
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "value")
-    q = quantiles(long, ["feature"], "value", [0.25, 0.75]).groupBy("feature").agg(
+    q = exact_quantiles_long(long, ["feature"], "value", [0.25, 0.75]).groupBy("feature").agg(
         F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
         F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
     q = q.withColumns({

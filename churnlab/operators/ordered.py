@@ -1,127 +1,64 @@
-"""Ordered prefix sums (W1) and what they carry: KS statistics, ROC-AUC, ROC and PR curves.
+"""Ordered prefix sums (W1) and what they carry: KS statistics, ROC-AUC, ROC and PR curves, quantiles.
 
 A window ordered over a whole column runs in one task, and one partitioned by feature runs one
 task per feature. ``prefix_sums`` instead works in two levels:
 
 1. the input is first reduced to one row per distinct (group, value) with integer counts;
-2. per group, ``percentile_approx`` picks bucket boundaries over the distinct values; the bucket
-   count grows with the group (about a million rows per bucket). They are collected once
-   (groups x buckets numbers) and broadcast back as a fixed relation, so the bucket of a value
-   is the same in every branch and on every retry; a binary search finds it;
-3. a running sum runs inside each (group, bucket) window, i.e. in many small tasks;
-4. bucket totals (groups x buckets rows) give each bucket its offset, joined back by broadcast.
-
-Counts are integers, so the sums are exact and independent of the boundaries chosen.
+2. it is range partitioned by (group, value, tie-break), each row tagged with its partition, and
+   checkpointed: the tags are fixed for every later read and retry, and the input is computed once;
+3. a running sum runs inside each (partition, group), i.e. in many tasks of bounded size;
+4. the sums of each (partition, group) form a small table whose running sums are the offsets. It
+   is joined back under Spark's own size check.
+
+Counts are integers, so the sums are exact and independent of the ranges chosen. There is one
+plan for every size, and no boundary passes through the driver.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.pvalues import p_ks
-
-N_BUCKETS = 64
-_SEP = "\u0001"
-
-
-def _group_key(keys: list[str]) -> Column:
-    if not keys:
-        return F.lit("")
-    return F.concat_ws(_SEP, *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-
-
-def lower_bound(arr: Column, v: Column, length: int) -> Column:
-    """Number of entries of the sorted array ``arr`` that are < ``v`` (binary search, O(log n))."""
-    steps = max(1, int(math.ceil(math.log2(length + 1))) + 1)
-    init = F.struct(F.lit(0).alias("lo"), F.size(arr).alias("hi"))
-
-    def step(acc, _):
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        go_right = (acc["lo"] < acc["hi"]) & (F.element_at(arr, mid + 1) < v)
-        go_left = (acc["lo"] < acc["hi"]) & ~(F.element_at(arr, mid + 1) < v)
-        return F.struct(F.when(go_right, mid + 1).otherwise(acc["lo"]).alias("lo"),
-                        F.when(go_left, mid).otherwise(acc["hi"]).alias("hi"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+from ..session import checkpoint
 
 
 def prefix_sums(df: DataFrame, keys: list[str], order: str, cols: list[str], descending: bool = False,
                 n_buckets: int | None = None, prefix: str = "cum_", tiebreak: list[str] | None = None,
-                rows_per_bucket: int = 1_000_000, max_total_bounds: int = 200_000) -> DataFrame:
-    """Inclusive running sums of ``cols`` over ``order`` within ``keys``.
-
-    ``df`` must hold one row per (keys, order, *tiebreak) value (aggregate first). Buckets follow
-    ``order``; ``tiebreak`` orders tied rows. A tied value that holds more than a bucket's share
-    of rows (one value may hold a third of the table) is salted over sub-buckets by a hash of the
-    tie-break columns, so the order among its rows is (salt, tie-break) and no window task takes
-    the whole hot value.
-    The bucket count grows with the largest group (about ``rows_per_bucket`` rows per window
-    task, at least ``N_BUCKETS``), capped so all boundaries together stay below
-    ``max_total_bounds`` values. Adds ``prefix+col``.
+                total_prefix: str | None = None, next_prefix: str | None = None) -> DataFrame:
+    """Inclusive running sums of ``cols`` over ``order`` within ``keys``, as ``prefix+col``.
+
+    ``df`` must hold one row per (keys, order, *tiebreak) value (aggregate first); ``tiebreak``
+    orders tied rows, and a value that holds many rows is split over partitions by it. Null keys
+    are a group of their own. ``n_buckets`` sets the number of ranges, by default the session's
+    shuffle partitions, joined by AQE where they are small. ``total_prefix`` adds each group's
+    total of every column, ``next_prefix`` the columns of the row that follows (null at the end).
     """
-    ordv = F.col(order)
-    sort_v = -ordv if descending else ordv
-    if keys:
-        gk = _group_key(keys)
-    else:
-        # a single group: the key is an empty string derived from a data column, so the optimizer
-        # cannot fold it and the joins below stay broadcast *hash* joins (a folded constant key
-        # turns them into nested-loop joins)
-        gk = F.coalesce(F.substring(F.col(order).cast("string"), 1, 0), F.lit(""))
-    x = df.withColumns({"__g": gk, "__sv": sort_v})
-    sizes = [r[1] for r in x.groupBy("__g").count().collect()]
-    n_groups = max(1, len(sizes))
-    if n_buckets is None:
-        want = max(N_BUCKETS, -(-max(sizes or [0]) // rows_per_bucket))
-        n_buckets = max(2, min(want, max(N_BUCKETS, max_total_bounds // n_groups)))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy = max(10000, 10 * n_buckets)
-    dtype = x.schema["__sv"].dataType
-    rows = x.groupBy("__g").agg(F.percentile_approx("__sv", probs, accuracy).alias("__b")).collect()
-    # boundaries are collected once (groups x buckets values) and shipped back as a fixed
-    # relation, so every branch and every retry assigns the same bucket to a value
-    bounds, hot = [], []
-    for r in rows:
-        raw = [v for v in (r["__b"] or []) if v is not None]
-        bounds.append((r["__g"], sorted(set(raw))))
-        if tiebreak:
-            # a value repeated among the boundaries holds more than one bucket's share of rows
-            for v in set(raw):
-                k = raw.count(v)
-                if k > 1:
-                    hot.append((r["__g"], v, k + 1))
-    longest = max([len(b) for _, b in bounds] or [0])
-    bdf = x.sparkSession.createDataFrame(
-        bounds, T.StructType([T.StructField("__g", T.StringType()), T.StructField("__b", T.ArrayType(dtype))]))
-    x = x.join(F.broadcast(bdf), "__g")
-    x = x.withColumn("__bucket", lower_bound(F.col("__b"), F.col("__sv"), longest)).drop("__b")
-    order_cols = ["__sv"]
-    if hot:
-        # salting: rows of a hot value are split over sub-buckets by a hash of the tie-break
-        # columns; the total order becomes (value, salt, tie-break), still deterministic
-        hdf = x.sparkSession.createDataFrame(hot, T.StructType([
-            T.StructField("__g", T.StringType()), T.StructField("__sv", dtype), T.StructField("__salts", T.IntegerType())]))
-        x = x.join(F.broadcast(hdf), ["__g", "__sv"], "left")
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in tiebreak]), F.col("__salts"))
-        x = x.withColumn("__sub", F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(salt + 1)).drop("__salts")
-        order_cols.append("__sub")
-    else:
-        x = x.withColumn("__sub", F.lit(0))
-    w = (Window.partitionBy("__g", "__bucket", "__sub").orderBy(*order_cols, *(tiebreak or []))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    x = x.withColumns({f"__in_{c}": F.sum(c).over(w) for c in cols})
-    totals = x.groupBy("__g", "__bucket", "__sub").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
-    wb = Window.partitionBy("__g").orderBy("__bucket", "__sub").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__g", "__bucket", "__sub", *[
-        F.coalesce(F.sum(f"__t_{c}").over(wb), F.lit(0)).alias(f"__o_{c}") for c in cols])
-    # offsets hold one row per (group, bucket, sub-bucket): bounded by the boundary budget
-    x = x.join(F.broadcast(offsets), ["__g", "__bucket", "__sub"])
-    x = x.withColumns({f"{prefix}{c}": F.col(f"__in_{c}") + F.col(f"__o_{c}") for c in cols})
-    return x.drop("__g", "__sv", "__bucket", "__sub", *[f"__in_{c}" for c in cols], *[f"__o_{c}" for c in cols])
+    place = [F.col(order).desc() if descending else F.col(order).asc(), *[F.col(t) for t in tiebreak or []]]
+    ranges = [F.col(k) for k in keys] + place
+    ranged = df.repartitionByRange(n_buckets, *ranges) if n_buckets else df.repartitionByRange(*ranges)
+    x = checkpoint(ranged.withColumn("__p", F.spark_partition_id()))
+    here = Window.partitionBy("__p", *keys).orderBy(*place)
+    upto = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    firsts = [F.min_by(F.struct(*cols), F.struct(-F.col(order) if descending else F.col(order), *(tiebreak or []))).alias("__f")] if next_prefix else []
+    parts = x.groupBy("__p", *keys).agg(*[F.sum(c).alias(f"__t_{c}") for c in cols], *firsts)
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    small = [F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in cols]
+    if total_prefix:
+        small += [F.sum(f"__t_{c}").over(group).alias(f"{total_prefix}{c}") for c in cols]
+    if next_prefix:
+        small.append(F.lead("__f").over(group.orderBy("__p")).alias("__f"))
+    parts = parts.select(F.col("__p").alias("__q"), *[F.col(k).alias(f"__of_{k}") for k in keys], *small)
+
+    x = x.withColumns({f"{prefix}{c}": F.sum(c).over(upto) for c in cols}
+                      | ({f"{next_prefix}{c}": F.lead(c).over(here) for c in cols} if next_prefix else {}))
+    on = [F.col("__p") == F.col("__q"), *[F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys]]
+    x = x.join(parts, on).withColumns({f"{prefix}{c}": F.col(f"{prefix}{c}") + F.col(f"__o_{c}") for c in cols})
+    if next_prefix:
+        x = x.withColumns({f"{next_prefix}{c}": F.coalesce(F.col(f"{next_prefix}{c}"), F.col(f"__f.{c}")) for c in cols})
+    return x.drop("__p", "__q", "__f", *[f"__of_{k}" for k in keys], *[f"__o_{c}" for c in cols])
 
 
 def _long_two_sample(ref: DataFrame, new: DataFrame, cols: list[str]) -> DataFrame:
@@ -142,10 +79,8 @@ def ks_2samp(ref: DataFrame, new: DataFrame, cols: list[str], with_p: bool = Tru
 
     NULLs are dropped per feature. ``n_ref``/``n_new`` are the non-NULL counts.
     """
-    d = _long_two_sample(ref, new, cols)
-    c = prefix_sums(d, ["feature"], "value", ["a", "b"])
-    n = d.groupBy("feature").agg(F.sum("a").alias("n_ref"), F.sum("b").alias("n_new"))
-    c = c.join(F.broadcast(n), "feature")
+    c = prefix_sums(_long_two_sample(ref, new, cols), ["feature"], "value", ["a", "b"], total_prefix="n_")
+    c = c.withColumnsRenamed({"n_a": "n_ref", "n_b": "n_new"})
     # an empty side leaves the statistic undefined (NULL), not an error
     gap = F.abs(F.try_divide(F.col("cum_a"), F.col("n_ref")) - F.try_divide(F.col("cum_b"), F.col("n_new")))
     out = c.groupBy("feature").agg(F.max(gap).alias("ks_statistic"),
@@ -181,63 +116,49 @@ def roc_auc(df: DataFrame, score: str, label: str, keys: list[str] | None = None
                        F.col("P").cast("bigint").alias("positives"), F.col("N").cast("bigint").alias("negatives"))
 
 
-def _indexed_desc(df: DataFrame, score: str, label: str, keys: list[str]) -> DataFrame:
+def _indexed_desc(df: DataFrame, score: str, label: str, keys: list[str], **more) -> DataFrame:
     t = _score_table(df, score, label, keys).withColumn("one", F.lit(1).cast("bigint"))
-    c = prefix_sums(t, keys, "score", ["pos", "neg", "one"], descending=True)
-    tot = t.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.count(F.lit(1)).alias("K"))
-    if keys:
-        # per-key totals: one row per key (models, features), joined by broadcast
-        c = c.join(F.broadcast(tot), keys)
-    else:
-        # a single total row: three numbers, applied as literals
-        r = tot.first()
-        c = c.withColumns({"P": F.lit(r["P"]).cast("bigint"), "N": F.lit(r["N"]).cast("bigint"),
-                           "K": F.lit(r["K"]).cast("bigint")})
-    return c.withColumnRenamed("cum_one", "idx").withColumnRenamed("cum_pos", "tps").withColumnRenamed("cum_neg", "fps")
+    c = prefix_sums(t, keys, "score", ["pos", "neg", "one"], descending=True, total_prefix="total_", **more)
+    return c.withColumnsRenamed({"cum_one": "idx", "cum_pos": "tps", "cum_neg": "fps", "total_pos": "P", "total_neg": "N"})
+
+
+def _with_end(c: DataFrame, keys: list[str], point: dict, end: dict) -> DataFrame:
+    """One row per curve point, and ``end`` once per key beside the first point, from one pass."""
+    rows = [F.struct(*[v.alias(k) for k, v in p.items()]) for p in (point, end)]
+    both = F.when(F.col("idx") == 1, F.array(*rows)).otherwise(F.array(rows[0]))
+    return c.select(*keys, F.inline(both))
 
 
 def roc_curve(df: DataFrame, score: str, label: str, keys: list[str] | None = None,
               drop_intermediate: bool = True) -> DataFrame:
     """(fpr, tpr, threshold) by descending distinct score, collinear points dropped, plus the
-    (0, 0) start with an infinite threshold. Neighbours come from an equi-join on the running
-    index, not from a window over the whole curve."""
+    (0, 0) start with an infinite threshold. A point is collinear with its neighbours where the
+    next score has the same counts."""
     keys = keys or []
-    c = _indexed_desc(df, score, label, keys).select(*keys, "idx", "score", "tps", "fps", "P", "N", "K")
+    c = _indexed_desc(df, score, label, keys, next_prefix="next_")
     if drop_intermediate:
-        prev = c.select(*keys, (F.col("idx") + 1).alias("idx"), F.col("tps").alias("tps_prev"),
-                        F.col("fps").alias("fps_prev"))
-        nxt = c.select(*keys, (F.col("idx") - 1).alias("idx"), F.col("tps").alias("tps_next"),
-                       F.col("fps").alias("fps_next"))
-        c = c.join(prev, keys + ["idx"], "left").join(nxt, keys + ["idx"], "left")
-        bend = ((F.col("fps_next") - 2 * F.col("fps") + F.col("fps_prev")) != 0) | \
-               ((F.col("tps_next") - 2 * F.col("tps") + F.col("tps_prev")) != 0)
-        c = c.where((F.col("idx") == 1) | (F.col("idx") == F.col("K")) | bend)
-    pts = c.select(*keys, F.col("idx").cast("bigint").alias("point"),
-                   F.try_divide(F.col("fps"), F.col("N")).alias("fpr"),
-                   F.try_divide(F.col("tps"), F.col("P")).alias("tpr"),
-                   F.col("score").alias("threshold"))
-    start = c.where(F.col("idx") == 1).select(*keys, F.lit(0).cast("bigint").alias("point"),
-                                              F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
-                                              F.lit(float("inf")).alias("threshold"))
-    return start.unionByName(pts).select(*keys, "point", F.round("fpr", 6).alias("fpr"),
-                                         F.round("tpr", 6).alias("tpr"), "threshold")
+        c = c.where((F.col("idx") == 1) | F.col("next_one").isNull()
+                    | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg")))
+    return _with_end(c, keys,
+                     {"point": F.col("idx").cast("bigint"),
+                      "fpr": F.round(F.try_divide(F.col("fps"), F.col("N")), 6),
+                      "tpr": F.round(F.try_divide(F.col("tps"), F.col("P")), 6), "threshold": F.col("score")},
+                     {"point": F.lit(0).cast("bigint"), "fpr": F.lit(0.0), "tpr": F.lit(0.0),
+                      "threshold": F.lit(float("inf"))})
 
 
 def pr_curve(df: DataFrame, score: str, label: str, keys: list[str] | None = None) -> DataFrame:
     """Precision and recall for every distinct threshold (score >= t), plus the (recall 0,
     precision 1) end point and the base-rate line P / (P + N)."""
     keys = keys or []
-    c = _indexed_desc(df, score, label, keys)
-    pts = c.select(*keys, F.col("score").alias("threshold"),
-                   F.coalesce(F.try_divide(F.col("tps"), F.col("tps") + F.col("fps")), F.lit(0.0)).alias("precision"),
-                   F.coalesce(F.try_divide(F.col("tps"), F.col("P")), F.lit(1.0)).alias("recall"),
-                   (F.col("P") / (F.col("P") + F.col("N"))).alias("base_rate"))
-    end = c.where(F.col("idx") == 1).select(*keys, F.lit(None).cast("double").alias("threshold"),
-                                            F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
-                                            (F.col("P") / (F.col("P") + F.col("N"))).alias("base_rate"))
-    out = pts.unionByName(end)
-    return out.select(*keys, "threshold", F.round("precision", 6).alias("precision"),
-                      F.round("recall", 6).alias("recall"), F.round("base_rate", 6).alias("base_rate"))
+    base = F.round(F.col("P") / (F.col("P") + F.col("N")), 6)
+    return _with_end(_indexed_desc(df, score, label, keys), keys,
+                     {"threshold": F.col("score"),
+                      "precision": F.round(F.coalesce(F.try_divide(F.col("tps"), F.col("tps") + F.col("fps")), F.lit(0.0)), 6),
+                      "recall": F.round(F.coalesce(F.try_divide(F.col("tps"), F.col("P")), F.lit(1.0)), 6),
+                      "base_rate": base},
+                     {"threshold": F.lit(None).cast("double"), "precision": F.lit(1.0), "recall": F.lit(0.0),
+                      "base_rate": base})
 
 
 def exact_quantiles_long(long: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
@@ -250,20 +171,14 @@ def exact_quantiles_long(long: DataFrame, keys: list[str], value: str, probs: li
     """
     d = long.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("__v")) \
         .agg(F.count(F.lit(1)).alias("__n"))
-    c = prefix_sums(d, keys, "__v", ["__n"])
-    tot = d.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-    if keys:
-        c = c.join(F.broadcast(tot), keys)  # one row per key group
-    else:
-        c = c.withColumn("__total", F.lit(tot.first()["__total"]).cast("bigint"))
-    jk = keys
+    c = prefix_sums(d, keys, "__v", ["__n"], total_prefix="__total").withColumnRenamed("__total__n", "__total")
     aggs = []
     for i, p in enumerate(probs):
         pos = (F.col("__total") - 1) * F.lit(float(p))
         aggs += [F.min(F.when(F.col("cum___n") > F.floor(pos), F.col("__v"))).alias(f"lo{i}"),
                  F.min(F.when(F.col("cum___n") > F.ceil(pos), F.col("__v"))).alias(f"hi{i}"),
                  F.max(pos - F.floor(pos)).alias(f"fr{i}")]
-    g = c.groupBy(*jk).agg(*aggs) if jk else c.agg(*aggs)
+    g = c.groupBy(*keys).agg(*aggs)
     arr = F.array(*[F.struct(F.lit(float(p)).alias("p"),
                              (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"fr{i}")).alias("value"))
                     for i, p in enumerate(probs)])
@@ -277,33 +192,12 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
     return exact_quantiles_long(long, ["feature"], "value", probs)
 
 
-def quantiles(long: DataFrame, keys: list[str], value: str, probs: list[float],
-              max_distinct: int = 1_000_000) -> DataFrame:
-    """Exact quantiles per key group, choosing the plan by a size check.
-
-    ``approx_count_distinct`` per group decides: when every group holds fewer than
-    ``max_distinct`` distinct values, Spark's exact ``percentile`` (a value -> count map per group,
-    merged map-side) is used; otherwise the distributed prefix-sum form. Both are exact and
-    interpolate linearly. Output: keys..., p, value.
-    """
-    grp = long.groupBy(*keys) if keys else long.groupBy()
-    most = grp.agg(F.approx_count_distinct(value).alias("d")).agg(F.max("d")).first()[0] or 0
-    if most < max_distinct:
-        pct = (long.where(F.col(value).isNotNull()).groupBy(*keys)
-               .agg(F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs])).alias("q")))
-        arr = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), F.col("q").alias("value"))
-        return pct.select(*keys, F.explode(arr).alias("z")).select(*keys, F.col("z.p").alias("p"),
-                                                                    F.col("z.value").alias("value"))
-    return exact_quantiles_long(long, keys, value, probs)
-
-
-def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], max_distinct: int = 1_000_000) -> dict:
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict:
     """{column: [q(p) for p in probs]} for a fit step (one small result on the driver)."""
-    if not cols:
-        return {}
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "value")
     out = {c: [None] * len(probs) for c in cols}
+    if not cols:
+        return out
     idx = {float(p): i for i, p in enumerate(probs)}
-    for r in quantiles(long, ["feature"], "value", probs, max_distinct).collect():
+    for r in exact_quantiles(df, cols, probs).collect():
         out[r["feature"]][idx[float(r["p"])]] = r["value"]
     return out

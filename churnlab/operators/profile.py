@@ -213,8 +213,8 @@ def discrete_histogram(df: DataFrame, col: str, by: str = S.LABEL) -> DataFrame:
 def box_summary(df: DataFrame, col: str, by: str = S.LABEL) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (clamped to data), mean and count per class."""
     x = F.col(col).cast("double")
-    from .ordered import quantiles  # exact quartiles, size-checked plan
-    qs = quantiles(df.select(F.col(by), x.alias("value")), [by], "value", [0.25, 0.5, 0.75]).groupBy(by).agg(
+    from .ordered import exact_quantiles_long
+    qs = exact_quantiles_long(df.select(F.col(by), x.alias("value")), [by], "value", [0.25, 0.5, 0.75]).groupBy(by).agg(
         *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n) for p, n in
           [(0.25, "q1"), (0.5, "median"), (0.75, "q3")]])
     m = df.groupBy(by).agg(F.avg(x).alias("mean"), F.count(x).alias("n"))

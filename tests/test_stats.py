@@ -107,22 +107,36 @@ def test_roc_curve_drops_collinear(spark):
     assert 0.7 not in [p["threshold"] for p in pts]
 
 
-def test_prefix_sums_many_buckets_binary_search(spark):
+def test_prefix_sums_many_ranges(spark):
     rng = np.random.RandomState(9)
     pdf = pd.DataFrame({"g": rng.randint(0, 2, 4000), "v": rng.normal(size=4000)}).drop_duplicates(["g", "v"])
     pdf["n"] = rng.randint(1, 5, len(pdf))
     sdf = spark.createDataFrame(pdf)
-    out = W.prefix_sums(sdf, ["g"], "v", ["n"], rows_per_bucket=10).toPandas().sort_values(["g", "v"])
+    out = W.prefix_sums(sdf, ["g"], "v", ["n"], n_buckets=400, total_prefix="all_", next_prefix="next_").toPandas() \
+        .sort_values(["g", "v"])
     d = pdf.sort_values(["g", "v"])
-    assert (out["cum_n"].to_numpy() == d.groupby("g")["n"].cumsum().to_numpy()).all()
-    arr = F.array(*[F.lit(float(x)) for x in [1, 3, 3, 7]])
-    got = spark.createDataFrame([(v,) for v in [0.0, 1.0, 2.0, 3.0, 5.0, 7.0, 9.0]], "v double") \
-        .select(W.lower_bound(arr, F.col("v"), 4).alias("b")).collect()
-    assert [r["b"] for r in got] == [0, 0, 1, 1, 3, 3, 4]
+    group = d.groupby("g")["n"]
+    assert (out["cum_n"].to_numpy() == group.cumsum().to_numpy()).all()
+    assert (out["all_n"].to_numpy() == group.transform("sum").to_numpy()).all()
+    assert (out["next_n"].fillna(-1).to_numpy() == group.shift(-1).fillna(-1).to_numpy()).all()
 
 
-def test_prefix_sums_salts_hot_value(spark):
-    # one value holds 40 % of the rows: its rows are spread over sub-buckets, ranks stay exact
+def test_null_and_empty_keys_are_groups_of_their_own(spark):
+    df = spark.createDataFrame([(None, 0.9, 1), (None, 0.1, 0), ("", 0.1, 1), ("", 0.9, 0)], "k string, score double, label int")
+    got = {r["k"]: r["roc_auc"] for r in W.roc_auc(df, "score", "label", ["k"]).collect()}
+    assert got == {None: 1.0, "": 0.0}
+    curves = W.roc_curve(df, "score", "label", ["k"]).groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()
+    assert {r["k"]: r["n"] for r in curves} == {None: 3, "": 3}
+
+
+def test_ordered_operators_on_empty_tables(spark):
+    none = spark.createDataFrame([], "score double, label int")
+    assert W.roc_curve(none, "score", "label").count() == 0 and W.pr_curve(none, "score", "label").count() == 0
+    assert W.column_quantiles(none, ["score"], [0.5]) == {"score": [None]}
+
+
+def test_prefix_sums_splits_hot_value(spark):
+    # one value holds 40 % of the rows: its rows are spread over ranges, ranks stay exact
     rng = np.random.RandomState(4)
     v = np.where(rng.rand(3000) < 0.4, 5.0, rng.normal(size=3000))
     pdf = pd.DataFrame({"id": np.arange(3000), "v": v, "one": 1})
