@@ -41,7 +41,7 @@ from .common import documents, text_of
 MODEL, SAMPLES, RANK_SHIFT, SEED = "piece_bpe_32k.model", 2, 10.0, 20240301
 SPACE = "▁"
 UNITS = re.compile(" *[^ ]+| +")
-STORE_WORDS, BATCH_CHARS = 150_000, 1_500_000
+STORE_WORDS, BATCH_CHARS = 150_000, 400_000
 U = np.uint64
 
 
@@ -161,13 +161,14 @@ class Lattices:
         slot = np.empty(len(source), np.int64)
         slot[first[source] + rank] = np.arange(len(source))
         source, target, piece = source[slot], target[slot], piece[slot]
-        sizes = np.where(piece < 0, target - source, 1)
-        start = np.cumsum(sizes) - sizes
-        flat = np.repeat(piece, sizes)
-        lone = np.flatnonzero(flat < 0)
-        edge = np.repeat(np.arange(len(sizes)), sizes)[lone]
-        flat[lone] = self.byte[data[source[edge] + lone - start[edge]]]
-        log_w = np.add.reduceat(self.weight[flat], start)
+        sizes, lone = np.ones(len(piece), np.int64), np.flatnonzero(piece < 0)
+        sizes[lone] = (target - source)[lone]
+        log_w = self.weight[piece]
+        log_w[lone] = self.weight[self.byte[0]] * sizes[lone]   # all byte pieces have one weight
+        end, wide = np.cumsum(sizes), sizes[lone]
+        flat = piece if len(piece) == end[-1] else np.repeat(piece, sizes)
+        inside = np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
+        flat[np.repeat((end - sizes)[lone], wide) + inside] = self.byte[data[np.repeat(source[lone], wide) + inside]]
         # suffix masses: places from the last to the first, all words together
         where = np.arange(len(data)) - np.repeat(begin, np.diff(np.append(begin, len(data))))
         mass = np.zeros(len(data))
@@ -186,13 +187,21 @@ class Lattices:
             node = node[count[node] > n]
         node = np.flatnonzero(count)
         running[first[node] + count[node] - 1] = 2.0
-        edges = len(self.target)
+        self.append(first=len(self.target) + np.cumsum(count), source=source + base, target=target + base, log_p=log_p,
+                    running=running, ids=flat, id_from=self.id_from[-1] + end)
         self.size = base + len(data)
-        self.first = np.concatenate([self.first, edges + np.cumsum(count)])
-        for name, more in (("source", source + base), ("target", target + base), ("log_p", log_p), ("running", running), ("ids", flat)):
+
+    def append(self, **arrays: np.ndarray):
+        """Add to the arrays, which are views of buffers that double when full."""
+        for name, more in arrays.items():
             old = getattr(self, name)
-            setattr(self, name, np.concatenate([old, more.astype(old.dtype)]))
-        self.id_from = np.concatenate([self.id_from, self.id_from[-1] + np.cumsum(sizes)])
+            n = len(old) + len(more)
+            whole = old.base
+            if whole is None or len(whole) < n:
+                whole = np.empty(2 * n, old.dtype)
+                whole[:len(old)] = old
+            whole[len(old):n] = more
+            setattr(self, name, whole[:n])
 
     def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge of each node at which the running probability reaches ``u``."""
@@ -209,10 +218,12 @@ class Lattices:
 
     def nodes(self, words: list[str]) -> np.ndarray:
         """First node of every word."""
-        new = list(dict.fromkeys(w for w in words if w not in self.words))
-        if new:
+        found = list(map(self.words.get, words))
+        if None in found:
+            new = list(dict.fromkeys(w for w, at in zip(words, found) if at is None))
             self.add(new)
-        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+            found = list(map(self.words.__getitem__, words))
+        return np.array(found, np.int64)
 
 
 def uniform(key: np.ndarray, sample: int, index: np.ndarray, step: int) -> np.ndarray:
