@@ -16,6 +16,7 @@ from ..functions.features import FeatureStats, engineer_features
 from ..operators import attribute as AT
 from ..operators import clean as C
 from ..operators import models as MD
+from ..session import checkpoint
 
 
 def prepare_requests(requests: DataFrame, stats: FeatureStats, features: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -32,14 +33,17 @@ def score_requests(model, requests: DataFrame, stats: FeatureStats, features: li
                    background: DataFrame | None = None, perms: int = 1, top: int = 6,
                    seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(results, rejects). Results: id, churn_probability, churn_prediction, base_value,
-    top_shap_features (6 entries) - all rounded to 4 places."""
+    top_shap_features (6 entries) - all rounded to 4 places. Ids may repeat: rows are told apart by a
+    key of their own, checkpointed so that it holds on retries."""
     aligned, rejects = prepare_requests(requests, stats, features)
+    if background is not None:
+        aligned = checkpoint(aligned.withColumn("__row", F.monotonically_increasing_id()))
     scored = MD.score(model, aligned.withColumn(S.LABEL, F.lit(0)))
-    out = scored.select(S.ID, "churn_probability", "churn_prediction")
+    out = scored.select(S.ID, "churn_probability", "churn_prediction", *(["__row"] if background is not None else []))
     if background is not None:
-        attr = AT.sampled_shapley(model, aligned, background, features, perms, seed)
-        attr = AT.top_attributions(attr, top).select(S.ID, "base_value", "top_shap_features")
-        out = out.join(attr, S.ID, "left")
+        attr = AT.sampled_shapley(model, aligned, background, features, perms, seed, id_col="__row")
+        attr = AT.top_attributions(attr, top).select("__row", "base_value", "top_shap_features")
+        out = out.join(attr, "__row", "left")
     else:
         out = out.withColumn("base_value", F.lit(None).cast("double")) \
             .withColumn("top_shap_features", F.lit(None).cast(S.ATTRIBUTION_TYPE))

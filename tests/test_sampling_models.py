@@ -55,7 +55,7 @@ def test_knn_exact_with_ties(spark):
     pts = [(i, 0.0, 0.0) for i in range(30)] + [(100 + i, float(i), float(i % 3)) for i in range(40)]
     df = spark.createDataFrame(pts, "customer_id long, a double, b double")
     got = NB.knn(df, ["a", "b"], 4, n_axes=1, window=2).collect()
-    bf = NB.knn_brute_force(df, ["a", "b"], 4)
+    bf = knn_brute_force(df, ["a", "b"], 4)
     by = {}
     for r in got:
         by.setdefault(r.customer_id, []).append((r.nn_rank, r.distance))
@@ -126,3 +126,28 @@ def test_grid_search_and_promote(spark, frame):
     p1 = M.promote(spark, res.model, d, "2026-01-01T00:00:00", "random_forest", 0.8, 0.7)
     p2 = M.promote(spark, res.model, d, "2026-02-01T00:00:00", "random_forest", 0.85, 0.75)
     assert p1 != p2 and M.live_model_path(spark, d) == p2
+
+
+def knn_brute_force(points, features: list[str], k: int = 5, id_col: str = S.ID):
+    """All pairs, in pandas."""
+    import numpy as np
+    pdf = points.select(id_col, *features).toPandas()
+    X = pdf[features].to_numpy(dtype=float)
+    ids = pdf[id_col].to_numpy()
+    out = {}
+    for i in range(len(ids)):
+        d = np.sqrt(((X - X[i]) ** 2).sum(axis=1))
+        order = sorted((d[j], ids[j]) for j in range(len(ids)) if j != i)
+        out[int(ids[i])] = [(int(b), float(a)) for a, b in order[:k]]
+    return out
+
+
+def test_neighbours_and_smote_skip_points_with_null_features(spark):
+    from churnlab.operators import neighbors, sampling
+    rows = [(i, float(i), 2.0 * i, int(i < 8)) for i in range(24)] + [(100, None, 1.0, 1)]
+    df = spark.createDataFrame(rows, "customer_id long, a double, b double, label int")
+    minority = df.where("label = 1")
+    near = neighbors.knn(minority, ["a", "b"], 3, "customer_id").collect()
+    assert {r["customer_id"] for r in near} == set(range(8)) and all(r["distance"] is not None and r["nn_id"] != 100 for r in near)
+    both = sampling.smote(df, ["a", "b"], label="label", id_col="customer_id").groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in both} == {0: 16, 1: 16}

@@ -56,6 +56,15 @@ def test_score_requests(spark, trained):
     assert alone.first()["churn_probability"] == out[0]["churn_probability"]
 
 
+def test_repeated_request_ids_are_explained_apart(spark, trained):
+    model, stats, bg = trained
+    requests = _requests(spark).where(F.col(S.ID) < 2)
+    res, _ = score_requests(model, requests, stats, FEATS, background=bg)
+    twice, _ = score_requests(model, requests.withColumn(S.ID, F.lit(7).cast("long")), stats, FEATS, background=bg)
+    view = lambda d: sorted((r["churn_probability"], r["base_value"], len(r["top_shap_features"])) for r in d.collect())
+    assert view(twice) == view(res)
+
+
 def test_stream_score_matches_batch(spark, trained):
     model, stats, _ = trained
     base = tempfile.mkdtemp(prefix="churnlab-x1-")
