@@ -14,6 +14,7 @@ from .. import schema as S
 from ..functions.bins import cut
 from ..functions.frames import side_by_side
 from ..functions.pvalues import p_chi2, p_f, p_t
+from ..session import checkpoint
 from .ordered import ks_2samp  # noqa: F401  (Q8 lives with the prefix sums)
 
 
@@ -132,21 +133,21 @@ def chi2_independence(df: DataFrame, cols: list[str], label: str = S.LABEL, corr
 def anova_f(df: DataFrame, group: str, value: str, with_p: bool = True) -> DataFrame:
     """Q7: one-way ANOVA of ``value`` across the non-NULL levels of ``group``.
 
-    Per group (n, mean, population variance) in one aggregate; SSB and SSW from those rows.
+    Per group (n, mean, population variance) in one aggregate, checkpointed; the grand mean is one
+    number and SSB and SSW are sums over the group rows.
     """
-    g = (df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-         .groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(value).cast("double")).alias("m"),
-                             F.var_pop(F.col(value).cast("double")).alias("vp")))
-    s = g.agg(F.sum("n").alias("N"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("gm"),
-              F.count(F.lit(1)).alias("k"),
-              F.sum(F.col("n") * F.col("vp")).alias("ssw"),
-              F.collect_list(F.struct("n", "m")).alias("groups"))
-    ssb = F.aggregate("groups", F.lit(0.0), lambda acc, x: acc + x["n"] * F.pow(x["m"] - F.col("gm"), 2))
-    out = s.select(F.col("k").cast("bigint").alias("groups"), F.col("N").cast("bigint").alias("n"),
-                   ssb.alias("ssb"), "ssw")
+    g = checkpoint(df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+                   .groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(value).cast("double")).alias("m"),
+                                       F.var_pop(F.col(value).cast("double")).alias("vp")))
+    mean = g.agg(F.sum(F.col("n") * F.col("m")) / F.sum("n")).first()[0]
+    apart = F.col("m") - F.lit(mean).cast("double")
+    out = g.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").cast("bigint").alias("n"),
+                F.coalesce(F.sum(F.col("n") * apart * apart), F.lit(0.0)).alias("ssb"),
+                F.sum(F.col("n") * F.col("vp")).alias("ssw"))
     out = out.select("groups", "n", (F.col("groups") - 1).alias("df_between"),
                      (F.col("n") - F.col("groups")).alias("df_within"),
-                     F.try_divide(F.col("ssb") / (F.col("groups") - 1), F.col("ssw") / (F.col("n") - F.col("groups")))
+                     F.try_divide(F.try_divide(F.col("ssb"), F.col("groups") - 1),
+                                  F.try_divide(F.col("ssw"), F.col("n") - F.col("groups")))
                      .alias("f_statistic"))
     if with_p:
         return out.withColumn("p_value", p_f(F.col("f_statistic"), F.col("df_between"), F.col("df_within")))

@@ -144,3 +144,11 @@ def test_prefix_sums_splits_hot_value(spark):
     assert sorted(out["cum_one"]) == list(range(1, 3001))        # a permutation of ranks
     by_v = out.sort_values("cum_one")["v"].to_numpy()
     assert (np.diff(by_v) >= 0).all()                            # ranks follow the value order
+
+
+def test_anova_without_groups_or_with_one(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 3.0)], "g string, v double")
+    one = Q.anova_f(df, "g", "v", with_p=False).first()
+    assert (one["groups"], one["n"], one["f_statistic"]) == (1, 2, None)
+    none = Q.anova_f(df.where("g = 'z'"), "g", "v", with_p=False).first()
+    assert none["groups"] == 0 and none["f_statistic"] is None
