@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.bins import INF, cut, label_dim
 from ..functions.features import tenure_month
+from ..session import checkpoint
 
 # Segment edges and labels.
 SERVICE_EDGES = [-1, 1, 3, INF]
@@ -47,20 +48,14 @@ def churn_rate(df: DataFrame) -> DataFrame:
                   F.round(F.avg(_label(df)), 6).alias("churn_rate")).withColumn("columns", F.lit(len(df.columns)))
 
 
-def with_share(grouped: DataFrame, n_col: str = "n", out: str = "share") -> DataFrame:
-    """Share of the grand total on an already grouped, category-sized result.
-
-    The input is the output of a group-by on a categorical column, so its size is bounded by the
-    number of categories; a global window over it costs one tiny task.
-    """
-    return grouped.withColumn(out, F.round(F.col(n_col) / F.sum(n_col).over(Window.partitionBy()), 6))
-
-
 def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
-    """A2: count (or proportion) per value, most frequent first."""
+    """A2: count (or proportion) per value, most frequent first. The column may hold any number of
+    values, so their total is one aggregate of the checkpointed counts and not a window."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     if normalize:
-        g = with_share(g)
+        g = checkpoint(g)
+        total = g.agg(F.sum("n")).first()[0]
+        g = g.withColumn("share", F.round(F.try_divide(F.col("n"), F.lit(total).cast("bigint")), 6))
     return g.orderBy(F.desc("n"), col)
 
 
@@ -221,7 +216,7 @@ def box_summary(df: DataFrame, col: str, by: str = S.LABEL) -> DataFrame:
     q = m.join(qs, by)
     fences = q.select(by, (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lf"),
                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("uf"))
-    whisk = (df.select(F.col(by), x.alias("x")).join(F.broadcast(fences), by)
+    whisk = (df.select(F.col(by), x.alias("x")).join(fences, by)
              .groupBy(by).agg(F.min(F.when(F.col("x") >= F.col("lf"), F.col("x"))).alias("lower_whisker"),
                               F.max(F.when(F.col("x") <= F.col("uf"), F.col("x"))).alias("upper_whisker")))
     out = q.join(whisk, by)
