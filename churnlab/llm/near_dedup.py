@@ -1,13 +1,16 @@
 """Near-duplicate groups by a multi-index Hamming join of b-bit MinHash signatures (operator 3).
 
-A document is the set of its distinct five-word shingles. ``CHUNKS * WIDTH`` MinHash values cut to
-8 bits are its index signature. Pairs that differ in at most ``2 * CHUNKS - 1`` places are searched:
-cut into ``CHUNKS`` chunks, one chunk of such a pair has at most one error (pigeonhole). Allowed
-errors are enumerated by masking each place of each chunk, so every such pair meets in at least
-one bucket, whatever the data. A pair at the link threshold (Jaccard 0.85) differs in 10.8 of the
-72 places on average; more than 23 has probability 4e-5 there, and less for closer pairs. Pairs
-that meet are compared by a 1-bit signature of ``BITS`` functions before their sets are read: more
-than 62 of 512 bits differ with probability 6e-5 at the threshold.
+A document is the set of its distinct five-word shingles. Documents are linked from a Jaccard
+similarity of ``percent`` / 100 on (85 in the query); :func:`limits` derives all that follows from it.
+``chunks * width`` MinHash values cut to 8 bits are the index signature. Pairs that differ in at most
+``2 * chunks - 1`` places are searched: cut into ``chunks`` chunks, one chunk of such a pair has at
+most one error (pigeonhole). Allowed errors are enumerated by masking each place of each chunk, so
+every such pair meets in at least one bucket, whatever the data. The chunks are the widest with at
+most ``MAX_KEYS`` keys a document where a pair at the threshold differs in more places with
+probability ``MISSED`` at most, and less for closer pairs: 12 chunks of 6 and 7.7e-5 at 0.85 (10.8 of
+72 places differ on average, more than 23 are missed), 14 chunks of 5 and 9.2e-5 at 0.8. Pairs that
+meet are compared by a 1-bit signature of ``BITS`` functions before their sets are read: a pair at
+the threshold differs in more than ``max_bits`` of them with probability ``FILTERED`` at most.
 
 Nothing emits all pairs of a bucket:
 
@@ -17,8 +20,8 @@ Nothing emits all pairs of a bucket:
 * links that stars can't see lie between different components inside one bucket. Only buckets
   with more than one component go on, and there only members outside the bucket's first
   component are paired with members of other components, not yet seen and within the distance of
-  a wider signature that is computed for these documents alone (``WIDE`` bits; more than 204 of 2048
-  differ with probability 2e-5 at the threshold), so that few pairs but true links come out. A pair
+  a wider signature that is computed for these documents alone (``max_wide`` of ``WIDE`` bits, by the
+  same probability), so that few pairs but true links come out. A pair
   with an equal chunk meets in the bucket of that chunk's first place alone. A link inside a
   component can't change it.
 
@@ -32,6 +35,9 @@ are ignored (kept by :func:`drop_near_duplicates`).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from math import exp, lgamma, log, log1p
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +48,9 @@ from .common import documents, drop_ids, saved, text_of
 from .components import connected_components
 
 SHINGLE, PERCENT = 5, 85
-CHUNKS, WIDTH = 12, 6
-PLACES = CHUNKS * WIDTH
-BITS, MAX_BITS = 512, 62
-WIDE, MAX_WIDE = 2048, 204
+BITS, WIDE = 512, 2048
+#: Keys of a document; chances that a pair at the threshold is beyond the index or a bit limit.
+MAX_KEYS, MISSED, FILTERED = 80, 1e-4, 2.3e-5
 #: Odd multipliers and offsets of the hash family, from one seed.
 _RNG = np.random.default_rng(20240229)
 _MUL = (_RNG.integers(0, 1 << 31, WIDE, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -53,6 +58,39 @@ _ADD = _RNG.integers(0, 1 << 32, WIDE, dtype=np.uint32)
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
+class Limits(NamedTuple):
+    """What a link threshold asks of the index and of the bit signatures."""
+
+    percent: int
+    chunks: int
+    width: int
+    max_bits: int
+    max_wide: int
+
+
+def beyond(n: int, p: float, most: int) -> float:
+    """The probability that more than ``most`` of ``n`` independent places differ, each with chance ``p``."""
+    if p == 0:
+        return 0.0
+    return sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * log(p) + (n - k) * log1p(-p)) for k in range(most + 1, n + 1))
+
+
+@lru_cache
+def limits(percent: int) -> Limits:
+    """The index shape and the bit limits of a threshold of ``percent`` / 100."""
+    apart = 1 - percent / 100
+    for width in range(8, 2, -1):
+        for chunks in range(1, MAX_KEYS // width + 1):
+            if beyond(chunks * width, apart * 255 / 256, 2 * chunks - 1) <= MISSED:
+                within = [next(m for m in range(n) if beyond(n, apart / 2, m) <= FILTERED) for n in (BITS, WIDE)]
+                return Limits(percent, chunks, width, *within)
+    raise ValueError(f"no index of {MAX_KEYS} keys for a threshold of {percent} percent")
+
+
+CHUNKS, WIDTH = limits(PERCENT)[1:3]
+PLACES = CHUNKS * WIDTH
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser."""
     x = (x ^ (x >> np.uint64(30))) * _M1
@@ -103,17 +141,17 @@ def bits(low: np.ndarray) -> np.ndarray:
     return np.packbits((low >> np.uint32(8)).astype(np.uint8) & 1).view(np.int64)
 
 
-def signatures(shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
+def signatures(shingles: np.ndarray, places: int = PLACES) -> tuple[bytes, np.ndarray]:
     """The index signature (values cut to 8 bits) and the bit signature."""
     low = lowest(shingles, BITS)
-    return low[:PLACES].astype(np.uint8).tobytes(), bits(low)
+    return low[:places].astype(np.uint8).tobytes(), bits(low)
 
 
 def _words(text: pa.Scalar) -> list[bytes]:
     return text.as_buffer().to_pybytes().lower().split()
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, places: int = PLACES) -> DataFrame:
     """id, class digest (128 bits of the word sequence), n_shingles, index signature, bit signature."""
     from hashlib import blake2b
 
@@ -124,7 +162,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for text in batch.column(1):
                 words = _words(text)
                 s = shingle_hashes(words, hashes)
-                out.append((blake2b(b" ".join(words), digest_size=16).digest(), len(s), *signatures(s)))
+                out.append((blake2b(b" ".join(words), digest_size=16).digest(), len(s), *signatures(s, places)))
             columns = [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64())))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "digest", "n", "places", "sig"])
 
@@ -132,16 +170,16 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(compute, "id bigint, digest binary, n bigint, places binary, sig array<bigint>")
 
 
-def bucket_keys(reps: DataFrame) -> DataFrame:
+def bucket_keys(reps: DataFrame, chunks: int = CHUNKS, width: int = WIDTH) -> DataFrame:
     """(key, id): for each chunk and each masked place, the chunk's other symbols."""
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(ids), CHUNKS, WIDTH).astype(np.int64)
-            for c in range(CHUNKS):
-                for masked in range(WIDTH):
-                    key = np.full(len(ids), c * WIDTH + masked, np.int64)
-                    for k in range(WIDTH):
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(ids), chunks, width).astype(np.int64)
+            for c in range(chunks):
+                for masked in range(width):
+                    key = np.full(len(ids), c * width + masked, np.int64)
+                    for k in range(width):
                         if k != masked:
                             key = key << 8 | sig[:, c, k]
                     yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids)], ["key", "id"])
@@ -149,22 +187,22 @@ def bucket_keys(reps: DataFrame) -> DataFrame:
     return reps.select("id", "places").mapInArrow(keys, "key bigint, id bigint")
 
 
-def _close(a: str, b: str):
+def _close(a: str, b: str, lim: Limits):
     """Sizes that allow the link, and bit signatures within the distance."""
     small, large = F.least(f"n_{a}", f"n_{b}"), F.greatest(f"n_{a}", f"n_{b}")
     words = [F.bit_count(F.get(f"sig_{a}", F.lit(k)).bitwiseXOR(F.get(f"sig_{b}", F.lit(k)))) for k in range(BITS // 64)]
-    return (small * 100 >= large * PERCENT) & (sum(words[1:], words[0]) <= MAX_BITS)
+    return (small * 100 >= large * lim.percent) & (sum(words[1:], words[0]) <= lim.max_bits)
 
 
 def _named(reps: DataFrame, side: str) -> DataFrame:
     return reps.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("sig").alias(f"sig_{side}"))
 
 
-def _once():
+def _once(width: int):
     """Whether a bucket is the one for its pair in this chunk: the masked place differs, or is the first."""
-    place = F.shiftright("key", 8 * (WIDTH - 1)).cast("int")
+    place = F.shiftright("key", 8 * (width - 1)).cast("int")
     at = lambda s: F.substring(F.col(f"places_{s}"), place + 1, F.lit(1))
-    return (place % WIDTH == 0) | (at("a") != at("b"))
+    return (place % width == 0) | (at("a") != at("b"))
 
 
 def _about(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, compute, small: int = 2_000_000) -> DataFrame:
@@ -184,32 +222,33 @@ def _about(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, compu
     return texts.mapInArrow(run, "id bigint, s array<bigint>").dropDuplicates(["id"])
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
     wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
     found = saved(_about(wanted, docs, id_col, text_col, lambda s: s.view(np.int64)), "shingle-sets")
     both = pairs.select("a", "b").join(found.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
         found.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(common * 100 >= (F.size("sa") + F.size("sb") - common) * PERCENT).select("a", "b")
+    return both.filter(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b")
 
 
-def _close_wide():
+def _close_wide(lim: Limits):
     """The wide signatures within their distance."""
-    return F.aggregate(F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x) <= MAX_WIDE
+    return F.aggregate(F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x) <= lim.max_wide
 
 
-def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept."""
-    prints = saved(fingerprints(docs, id_col, text_col), "fingerprints")
+def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per document: id, n_shingles, component_id, kept; linked from a similarity of ``percent`` / 100 on."""
+    lim = limits(percent)
+    prints = saved(fingerprints(docs, id_col, text_col, lim.chunks * lim.width), "fingerprints")
     classes = prints.filter("n > 0 AND id IS NOT NULL").groupBy("digest", "n", "places", "sig").agg(F.min("id").alias("id"))
     reps = saved(classes, "classes")
-    keys = saved(bucket_keys(reps), "bucket-keys")
+    keys = saved(bucket_keys(reps, lim.chunks, lim.width), "bucket-keys")
     hubs = saved(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("members")).filter("members > 1"), "hubs")
     met = saved(keys.join(hubs, "key").select("key", "id", "hub"), "buckets")
     stars = met.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    near = saved(stars.join(_named(reps, "a"), "a").join(_named(reps, "b"), "b").filter(_close("a", "b")).select("a", "b"), "star-pairs")
-    links = saved(confirmed(near, docs, id_col, text_col), "links")
+    near = saved(stars.join(_named(reps, "a"), "a").join(_named(reps, "b"), "b").filter(_close("a", "b", lim)).select("a", "b"), "star-pairs")
+    links = saved(confirmed(near, docs, id_col, text_col, percent), "links")
     label = saved(connected_components(links), "components")
 
     # what stars can't see: members of one bucket in different components
@@ -221,11 +260,11 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     open_ = saved(open_.join(wide.withColumnRenamed("s", "wide"), "id"), "open-wide")
     side = lambda s: open_.select(F.col("wide").alias(f"wide_{s}"), F.col("places").alias(f"places_{s}"), "key", F.col("id").alias(s), F.col("c").alias(f"c_{s}"), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("first").alias(f"first_{s}"))
     cross = side("a").filter("c_a <> first_a").join(side("b"), "key").filter(
-        "c_a <> c_b AND (c_b = first_b OR a < b)").filter(_close("a", "b") & _close_wide() & _once())
+        "c_a <> c_b AND (c_b = first_b OR a < b)").filter(_close("a", "b", lim) & _close_wide(lim) & _once(lim.width))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = saved(cross.join(near, ["a", "b"], "left_anti"), "cross-pairs")
     if not more.isEmpty():
-        links = links.union(saved(confirmed(more, docs, id_col, text_col), "links"))
+        links = links.union(saved(confirmed(more, docs, id_col, text_col, percent), "links"))
         label = saved(connected_components(links), "components")
 
     rep = prints.groupBy("digest").agg(F.min(F.when(F.col("n") > 0, F.col("id"))).alias("rep"))
@@ -237,9 +276,9 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
                       F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """``docs`` with the document of the smallest id of each component, all columns as they are."""
-    found = near_duplicate_components(docs, id_col, text_col)
+    found = near_duplicate_components(docs, id_col, text_col, percent)
     dropped = saved(found.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col), "near-dropped")
     return drop_ids(docs, dropped, id_col)
 

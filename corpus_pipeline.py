@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from churnlab.llm import exact_dedup, near_dedup, packing, pii, quality
 from churnlab.llm.common import saved
 
+#: Word-shingle similarity, in percent, from which the near_dedup stage drops a document (op3 alone has 85).
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.drop_low_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -22,7 +25,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.drop_near_duplicates(docs)
+    return near_dedup.drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
