@@ -19,8 +19,6 @@ from .session import checkpoint
 
 # Model inputs: numeric inputs without charges, plus the engineered features (fixed list).
 MODEL_FEATURES = [c for c in S.NUMERIC_INPUTS if "charge" not in c] + S.ENGINEERED
-SMOTE_FEATURES = ["account_length", "total_day_minutes", "total_eve_minutes", "total_night_minutes",
-                  "total_intl_minutes", "customer_service_calls", "international_plan", "voice_mail_plan"]
 
 
 def _split(spark, sf):
@@ -74,14 +72,14 @@ def q_rfe(spark, sf):
 def q_smote(spark, sf):
     """Training split plus synthetic minority rows (exact neighbours)."""
     train, _ = _split(spark, sf)
-    return SP.smote(train, SMOTE_FEATURES, k=5)
+    return SP.smote(train, MODEL_FEATURES, k=5)
 
 
 @register("minority_neighbors")
 def q_knn(spark, sf):
     """Exact 5 nearest minority neighbours of every minority training row."""
     train, _ = _split(spark, sf)
-    return NB.knn(train.where(F.col(S.LABEL) == 1), SMOTE_FEATURES, 5)
+    return NB.knn(train.where(F.col(S.LABEL) == 1), MODEL_FEATURES, 5)
 
 
 @register("sampled_attribution")
