@@ -352,7 +352,8 @@ def q_box(spark, sf):
     return P.box_summary(cleaned(spark, sf), "customer_service_calls")
 
 
-_KDE_COLS = ["total_day_minutes", "customer_service_calls"]
+_KDE_COLS = ["account_length", "total_day_minutes", "total_eve_minutes", "total_night_minutes", "total_intl_minutes",
+             "customer_service_calls"]
 
 
 @register("kde_usage", W_(O.CLEANED, f"""
