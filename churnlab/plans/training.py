@@ -21,6 +21,7 @@ from ..functions.features import FeatureStats, engineer_features, fit_feature_st
 from ..operators import clean as C
 from ..operators import models as MD
 from ..operators import sampling as SP
+from ..operators.profile import merge_training_data
 from ..session import checkpoint
 from ..sources import io as IO
 from ..sources.fixture import customer_usage
@@ -85,11 +86,18 @@ def run_training(spark: SparkSession, sf_dir: str, out_dir: str, n_select: int =
             "duration_seconds": time.time() - t0}
 
 
+def retraining_rows(spark: SparkSession, reference: DataFrame, batches: str, features: list[str]) -> DataFrame:
+    """M14 + U2: the reference rows plus every landed batch that has all columns, numbered anew (a customer
+    may be in several batches)."""
+    landed = IO.read_batches(spark, batches, [*features, S.LABEL])
+    return checkpoint(merge_training_data(reference, landed, features).withColumn(S.ID, F.monotonically_increasing_id()))
+
+
 def monitoring_cycle(spark: SparkSession, out_dir: str, reference: DataFrame, batch: DataFrame, features: list[str],
                      model, with_labels: bool = True, cooldown_days: int = 0, retrain_data: DataFrame | None = None,
                      model_dir: str | None = None) -> dict:
     """Land the batch, build the report, write it, raise alerts, honour the cooldown and
-    retrain when recommended. Reports, alerts and retraining summaries are tables."""
+    retrain when recommended, by default on the reference and all landed batches. Reports, alerts and retraining summaries are tables."""
     ts = IO.write_batch(batch, f"{out_dir}/batches")
     report = M.monitoring_report(model, reference, batch, features, with_labels)
     IO.write_report(report, f"{out_dir}/reports")
@@ -110,8 +118,7 @@ def monitoring_cycle(spark: SparkSession, out_dir: str, reference: DataFrame, ba
     if not gate["allowed"]:
         out["reason"] += f"; cooldown: {gate['days_since']} days since last retraining"
         return out
-    data = retrain_data if retrain_data is not None else reference.unionByName(
-        batch.select(*reference.columns), allowMissingColumns=True)
+    data = retrain_data if retrain_data is not None else retraining_rows(spark, reference, f"{out_dir}/batches", features)
     res, new_model = M.retrain(spark, data, features, r["reason"], champion=model, model_dir=model_dir)
     summary = spark.createDataFrame([(res.success, res.deployed, res.trigger_reason, res.comparison_reason,
                                       res.best_model, res.best_score, res.duration_seconds, res.timestamp)],
