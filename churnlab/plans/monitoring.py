@@ -259,7 +259,7 @@ class RetrainResult:
 def retrain(spark: SparkSession, data: DataFrame, features: list[str], trigger_reason: str,
             champion=None, kinds: tuple = ("random_forest", "boosted_trees"), seed: int = 42,
             model_dir: str | None = None) -> tuple[RetrainResult, object]:
-    """Validate, split, fit candidates, pick the best by exact AUC, compare with the champion,
+    """Validate, split, fit candidates of 300 trees, pick the best by exact AUC, compare with the champion,
     and (M12) save the winner under a versioned path. No oversampling here, as in the original."""
     from ..operators.sampling import stratified_split
     from ..session import checkpoint
@@ -272,7 +272,7 @@ def retrain(spark: SparkSession, data: DataFrame, features: list[str], trigger_r
     train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
     rows, models = [], {}
     for i, kind in enumerate(kinds):
-        m = MD.fit(train, features, kind, {}, seed)
+        m = MD.fit(train, features, kind, {"n_estimators": 300}, seed)
         models[kind] = m
         met = MD.class_metrics(MD.score(m, test)).first()
         rows.append((i, kind, met["roc_auc"], met["accuracy"]))

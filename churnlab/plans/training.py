@@ -30,7 +30,7 @@ from . import monitoring as M
 BASE_FEATURES = [c for c in S.NUMERIC_INPUTS if "charge" not in c]
 
 
-def run_training(spark: SparkSession, sf_dir: str, out_dir: str, n_select: int = 20, rfe_step: float = 0.2,
+def run_training(spark: SparkSession, sf_dir: str, out_dir: str, n_select: int = 20, rfe_step: float = 1,
                  kinds: tuple = tuple(MD.KINDS), tune: bool = True, n_iter: int = 8, folds: int = 3,
                  use_smote: bool = True, fit_on: str = "train", seed: int = 42, run_id: str | None = None) -> dict:
     """Merge -> clean -> split -> features -> RFE -> SMOTE -> fit/tune -> evaluate -> save."""
@@ -53,7 +53,7 @@ def run_training(spark: SparkSession, sf_dir: str, out_dir: str, n_select: int =
     test = feats.where(F.col("split") == "test")
 
     ranking = MD.rfe(train if fit_on == "train" else feats, candidates, n_select=min(n_select, len(candidates)),
-                     step=rfe_step, num_trees=100, seed=seed)
+                     step=rfe_step, num_trees=200, seed=seed)
     selected = [f for f, r in ranking if r == 1]
     IO.save_features(spark, selected, f"{out_dir}/selected_features")
     IO.save_split(feats.select(S.ID, *selected, S.LABEL, "split"), f"{out_dir}/split")
