@@ -62,3 +62,10 @@ def test_limits_follow_the_threshold():
     assert abs(N.beyond(4, 0.5, 2) - 5 / 16) < 1e-12
     with pytest.raises(ValueError):
         N.limits(50)
+
+
+def test_bit_filters_lose_nothing_beside_the_index():
+    assert (N.limits(85).max_bits, N.limits(85).max_wide) == (79, 230)
+    for percent in (80, 85):
+        lim, apart = N.limits(percent), 1 - percent / 100
+        assert max(N.beyond(N.BITS, apart / 2, lim.max_bits), N.beyond(N.WIDE, apart / 2, lim.max_wide)) <= 1e-9
