@@ -414,5 +414,6 @@ def decoded(samples: DataFrame, ids_col: str = "ids", into: str = "text", model:
 
 
 def op5_gumbel_segmentations(spark, sf_dir: str) -> DataFrame:
-    found = sampled_pieces(documents(spark, sf_dir))
-    return found.select("doc_id", "sample", "n_pieces", F.crc32("ids").alias("ids_crc32"), "log_prob", "perturbed", "inclusion")
+    found = decoded(sampled_pieces(documents(spark, sf_dir)))
+    return found.select("doc_id", "sample", "n_pieces", F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+                        "log_prob", "perturbed", "inclusion")
