@@ -226,8 +226,11 @@ def fit_imputation(df: DataFrame) -> Imputation:
     medians = {c: q[0] for c, q in column_quantiles(df, need_num, [0.5]).items()}
     modes = {}
     if need_txt:
-        row = df.agg(*[F.mode(c, True).alias(f"o__{c}") for c in need_txt]).first().asDict()
-        modes = {c: row[f"o__{c}"] for c in need_txt}
+        # counted over the shuffle by (column, value); per column only the best one is kept
+        counts = df.unpivot([], need_txt, "column", "value").where(F.col("value").isNotNull()) \
+            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode"))
+        modes = dict.fromkeys(need_txt) | {r["column"]: r["mode"] for r in best.collect()}
     return Imputation(medians, modes)
 
 
