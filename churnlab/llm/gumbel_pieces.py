@@ -33,6 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +42,8 @@ from .common import documents, text_of
 MODEL, SAMPLES, RANK_SHIFT, SEED = "piece_bpe_32k.model", 2, 10.0, 20240301
 SPACE = "▁"
 UNITS = re.compile(" *[^ ]+| +")
-STORE_WORDS, BATCH_CHARS = 150_000, 400_000
+#: Bytes of the arrays that the store of word lattices may fill before it is emptied, and text bytes that are sampled at once.
+STORE_BYTES, BATCH_BYTES = 90_000_000, 250_000
 U = np.uint64
 
 
@@ -117,10 +119,11 @@ class Lattices:
     def clear(self):
         self.words: dict[str, int] = {}          # word -> its first node
         self.size = 0
-        self.first = np.zeros(1, np.int64)       # node -> first edge
+        self.first = np.zeros(1, np.int32)       # node -> first edge
         self.source, self.target = np.empty(0, np.int32), np.empty(0, np.int32)
         self.log_p, self.running = np.empty(0), np.empty(0)
-        self.ids, self.id_from = np.empty(0, np.int32), np.zeros(1, np.int64)   # edge -> ids
+        self.ids, self.id_from = np.empty(0, np.int32), np.zeros(1, np.int32)   # edge -> ids
+        self.held = 0                            # bytes of the arrays
 
     def matches(self, data: np.ndarray, at: np.ndarray, width: np.ndarray):
         """(source, target, id or -1, rank among the source's edges) of all edges, and edges a node.
@@ -192,16 +195,17 @@ class Lattices:
         self.size = base + len(data)
 
     def append(self, **arrays: np.ndarray):
-        """Add to the arrays, which are views of buffers that double when full."""
+        """Add to the arrays, which are views of buffers that grow by half when full."""
         for name, more in arrays.items():
             old = getattr(self, name)
             n = len(old) + len(more)
             whole = old.base
             if whole is None or len(whole) < n:
-                whole = np.empty(2 * n, old.dtype)
+                whole = np.empty(n + n // 2, old.dtype)
                 whole[:len(old)] = old
             whole[len(old):n] = more
             setattr(self, name, whole[:n])
+            self.held += len(more) * old.itemsize
 
     def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge of each node at which the running probability reaches ``u``."""
@@ -218,12 +222,10 @@ class Lattices:
 
     def nodes(self, words: list[str]) -> np.ndarray:
         """First node of every word."""
-        found = list(map(self.words.get, words))
-        if None in found:
-            new = list(dict.fromkeys(w for w, at in zip(words, found) if at is None))
-            self.add(new)
-            found = list(map(self.words.__getitem__, words))
-        return np.array(found, np.int64)
+        new = set(words).difference(self.words)
+        if new:
+            self.add(list(new))
+        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
 
 
 def uniform(key: np.ndarray, sample: int, index: np.ndarray, step: int) -> np.ndarray:
@@ -258,46 +260,59 @@ def _gumbel(u: np.ndarray) -> np.ndarray:
 
 
 class Search:
-    """Perturbed A-star over the segmentations of one text."""
+    """Perturbed A-star over the segmentations of one text: its winners so far and its open sets."""
 
-    def __init__(self, edges: np.ndarray, words: np.ndarray, lat: Lattices, key: np.uint64, value: float):
-        self.lat, self.key, self.sets, self.turn = lat, key, [], 0
-        self.split(edges, words, np.empty(0, np.int64), 0, value)
-
-    def split(self, edges: np.ndarray, words: np.ndarray, banned: np.ndarray, fixed: int, value: float):
-        """A winner is drawn: keep it, and the parts of its set by the step where they leave it.
-
-        The first ``fixed`` steps are shared by the whole set; at the next one ``banned`` edges are out.
-        """
-        lat, self.turn = self.lat, self.turn + 1
-        log_p = lat.log_p[edges]
-        before = np.cumsum(log_p) - log_p
-        p = np.exp(log_p)
-        left = 1.0 - p
-        if len(banned):
-            left[fixed] -= np.exp(lat.log_p[banned]).sum()
-        # a node with one edge left has nothing beside it, whatever rounding says
-        node = lat.source[edges]
-        more = lat.first[node + 1] - lat.first[node] > 1
-        if len(banned):
-            more[fixed] = lat.first[node[fixed] + 1] - lat.first[node[fixed]] > 1 + len(banned)
-        at = np.flatnonzero(more[fixed:]) + fixed
-        if len(at):
-            mass = before[at] + np.log(np.maximum(left[at], 1e-300))
-            g = mass + _gumbel(uniform(self.key, self.turn, at, 1 << 20))
-            top = -np.logaddexp(-value, -g)   # truncated at the winner's value
-            best = int(np.argmax(top))
-            self.sets.append([top, at, best, edges, words, banned, fixed, float(log_p.sum())])
+    def __init__(self):
+        self.sets, self.found = [], []
 
     def best(self):
-        """Value of the best open set, None if all segmentations are out."""
+        """The best open set, None if all segmentations are out."""
         self.sets = [s for s in self.sets if s[0][s[2]] > -np.inf]
         return max(self.sets, key=lambda s: s[0][s[2]], default=None)
 
 
+#: Log probabilities are added in this unit as integers, so a sum doesn't depend on what else is in a batch.
+UNIT = 2.0 ** -30
+
+
+def split(lat: Lattices, parts: list[tuple], turn: int) -> None:
+    """For each part (search, key, edges, words, banned, fixed, value) a winner is drawn: keep it, and the
+    parts of its set by the step where they leave it.
+
+    The first ``fixed`` steps are shared by the whole set; at the next one ``banned`` edges are out.
+    """
+    sizes = np.array([len(p[2]) for p in parts], np.int64)
+    start, edges = np.cumsum(sizes) - sizes, np.concatenate([p[2] for p in parts])
+    log_p = lat.log_p[edges]
+    total = np.cumsum(np.append(0, np.rint(log_p / UNIT).astype(np.int64)))
+    at = np.flatnonzero(log_p < 0)          # the only edge of a node has 0
+    own = np.repeat(np.arange(len(parts)), np.diff(np.searchsorted(at, np.append(start, len(edges)))))
+    inside = at - start[own]
+    on = inside >= np.array([p[5] for p in parts], np.int64)[own]
+    at, own, inside = at[on], own[on], inside[on]
+    left, node = 1.0 - np.exp(log_p[at]), lat.source[edges[at]]
+    free = lat.first[node + 1] - lat.first[node] > 1
+    for n, (_, _, _, _, banned, fixed, _) in enumerate(parts):
+        if len(banned):
+            k = int(np.searchsorted(at, start[n] + fixed))
+            if k < len(at) and at[k] == start[n] + fixed:
+                left[k] -= np.exp(lat.log_p[banned]).sum()
+                # a node with one edge left has nothing beside it, whatever rounding says
+                free[k] = lat.first[node[k] + 1] - lat.first[node[k]] > 1 + len(banned)
+    at, own, inside, left = at[free], own[free], inside[free], left[free]
+    before = (total[at] - total[start[own]]) * UNIT
+    key = np.array([p[1] for p in parts], np.uint64)[own]
+    g = before + np.log(np.maximum(left, 1e-300)) + _gumbel(uniform(key, turn, inside, 1 << 20))
+    top = -np.logaddexp(-np.array([p[6] for p in parts])[own], -g)   # truncated at the winner's value
+    cut = np.searchsorted(own, np.arange(len(parts) + 1)).tolist()
+    for (search, _, own_edges, words, banned, shared, _), a, b in zip(parts, cut, cut[1:]):
+        if a < b:
+            search.sets.append([top[a:b], inside[a:b], int(top[a:b].argmax()), own_edges, words, banned, shared])
+
+
 def _restart(lat: Lattices, s: list, key: np.uint64, turn: int) -> tuple[np.ndarray, int, int, int]:
     """Take the best part out of set ``s``: its prefix, the edge at which it leaves, the banned ones."""
-    top, at, best, edges, words, banned, fixed = s[:7]
+    top, at, best, edges, words, banned, fixed = s
     step = int(at[best])
     top[best] = -np.inf
     s[2] = int(np.argmax(top))
@@ -312,7 +327,7 @@ def _restart(lat: Lattices, s: list, key: np.uint64, turn: int) -> tuple[np.ndar
 def sample_texts(lat: Lattices, keys: np.ndarray, texts: list[str], samples: int) -> list[list[tuple]]:
     """For each text its samples: (ids, log probability, perturbed value, inclusion)."""
     units = [UNITS.findall(" " + t) if t else [] for t in texts]
-    if len(lat.words) > STORE_WORDS:
+    if lat.held > STORE_BYTES:
         lat.clear()
     sizes = np.array([len(u) for u in units], np.int64)
     node = lat.nodes([w for u in units for w in u])
@@ -320,12 +335,12 @@ def sample_texts(lat: Lattices, keys: np.ndarray, texts: list[str], samples: int
     key_of, inside = np.repeat(keys, sizes), np.arange(len(node)) - np.repeat(start, sizes)
     where, edge = drawn(lat, node, key_of, inside, 1)
     cut = np.searchsorted(where, np.append(start, len(node)))
-    search = []
-    for k in range(len(texts)):
-        part = slice(cut[k], cut[k + 1])
-        value = float(_gumbel(uniform(keys[k], 0, np.zeros(1), 0))[0])
-        search.append(Search(edge[part], where[part] - start[k], lat, keys[k], value))
-        search[k].found = [(edge[part], float(lat.log_p[edge[part]].sum()), value)]
+    values = _gumbel(uniform(keys, 0, np.zeros(len(texts)), 0))
+    search, none = [Search() for _ in texts], np.empty(0, np.int64)
+    parts = [(s, keys[k], edge[cut[k]:cut[k + 1]], where[cut[k]:cut[k + 1]] - start[k], none, 0, float(values[k])) for k, s in enumerate(search)]
+    for s, _, edges, _, _, _, value in parts:
+        s.found.append((edges, float(lat.log_p[edges].sum()), value))
+    split(lat, parts, 1)
     for turn in range(2, samples + 1):
         redo = []
         for k, s in enumerate(search):
@@ -342,12 +357,14 @@ def sample_texts(lat: Lattices, keys: np.ndarray, texts: list[str], samples: int
         number = np.concatenate([np.arange(word, word + n) for n, (_, _, _, _, _, _, word) in zip(count, redo)])
         at, more = drawn(lat, np.concatenate(rests), np.repeat(keys[[r[0] for r in redo]], count), number, turn)
         bounds = np.searchsorted(at, np.append(begin, count.sum()))
+        parts = []
         for n, (k, best, value, out, step, pick, word) in enumerate(redo):
             tail = slice(bounds[n], bounds[n + 1])
             edges = np.concatenate([best[3][:step], [pick], more[tail]])
             words = np.concatenate([best[4][:step], [word], number[at[tail]]])
             search[k].found.append((edges, float(lat.log_p[edges].sum()), value))
-            search[k].split(edges, words, out, step, value)
+            parts.append((search[k], keys[k], edges, words, out, step, value))
+        split(lat, parts, turn)
     results = []
     for s in search:
         best = s.best() if len(s.found) == samples else None
@@ -368,12 +385,15 @@ def _ids(lat: Lattices, edges: np.ndarray) -> np.ndarray:
 
 
 def sampled_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES, model: str = MODEL,
-                   seed: int = SEED) -> DataFrame:
+                   seed: int = SEED, into: str | None = None) -> DataFrame:
     """One row per document and sample: id, sample (from 1), ids (little-endian 32-bit), n_pieces,
-    log_prob, perturbed, inclusion. Samples come by falling perturbed value."""
+    log_prob, perturbed, inclusion; with ``into``, a column of that name with the text decoded from
+    the ids. Samples come by falling perturbed value."""
     schema = docs.select(F.col(id_col).alias("_id")).schema.add("sample", "integer").add("ids", "binary").add("n_pieces", "long")
     for name in ("log_prob", "perturbed", "inclusion"):
         schema = schema.add(name, "double")
+    if into:
+        schema = schema.add(into, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = Lattices(model)
@@ -383,11 +403,14 @@ def sampled_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for i in range(len(ids)):
                 part.append(i)
                 size += len(texts[i].as_buffer())
-                if size >= BATCH_CHARS or i + 1 == len(ids):
+                if size >= BATCH_BYTES or i + 1 == len(ids):
                     found = sample_texts(lat, keys[part], [texts[k].as_py() for k in part], samples)
                     rows = [(ids[k], n, x.astype("<i4").tobytes(), len(x), *rest) for k, f in zip(part, found) for n, (x, *rest) in enumerate(f, 1)]
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
+                    if into:
+                        columns.append(decode_all([x for f in found for x, *_ in f], model))
                     part, size = [], 0
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     names = schema.fieldNames()
     from pyspark.sql.pandas.types import to_arrow_type
@@ -396,24 +419,46 @@ def sampled_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
-def decode(ids: np.ndarray, model: str = MODEL) -> str:
-    """The text of some piece ids: pieces joined, byte pieces as UTF-8, the first space dropped."""
-    _, _, byte, pieces = vocabulary(model)
+@lru_cache(maxsize=2)
+def piece_bytes(file: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that each piece stands for, end to end, and where each piece's begin."""
+    _, _, byte, pieces = vocabulary(file)
     value = {int(i): bytes([b]) for b, i in enumerate(byte)}
-    return b"".join(value.get(int(i)) or pieces[int(i)].replace(SPACE, " ").encode() for i in ids).decode()[1:]
+    found = [value.get(i) or piece.replace(SPACE, " ").encode() for i, piece in enumerate(pieces)]
+    return np.frombuffer(b"".join(found), np.uint8), np.append(0, np.cumsum([len(x) for x in found]))
+
+
+def decode_all(found: list[np.ndarray], model: str = MODEL) -> pa.Array:
+    """The texts of rows of piece ids: the bytes of all pieces in one gather, the first space of each row dropped."""
+    data, at = piece_bytes(model)
+    ids = np.concatenate([np.empty(0, np.int64), *found])
+    sizes = at[ids + 1] - at[ids]
+    ends = np.cumsum(sizes)
+    text = data[np.repeat(at[ids] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+    cut = np.append(0, ends)[np.cumsum([0, *map(len, found)])].tolist()
+    return pa.array([text[a + 1:b] for a, b in zip(cut, cut[1:])], pa.binary()).cast(pa.string())
+
+
+def decode(ids: np.ndarray, model: str = MODEL) -> str:
+    """The text of some piece ids."""
+    return decode_all([np.asarray(ids, np.int64)], model)[0].as_py()
 
 
 def decoded(samples: DataFrame, ids_col: str = "ids", into: str = "text", model: str = MODEL) -> DataFrame:
-    """``samples`` with the decoded text as one more column."""
+    """``samples`` with the decoded text as one more column; null ids give a null text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if b is None else decode(np.frombuffer(b, "<i4"), model) for b in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, into])
+            for a in range(0, batch.num_rows, 100):
+                part = batch.slice(a, 100)
+                ids = part.column(ids_col)
+                texts = decode_all([np.frombuffer(b or b"", "<i4").astype(np.int64) for b in ids.to_pylist()], model)
+                texts = pc.if_else(ids.is_valid(), texts, pa.scalar(None, pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], [*part.schema.names, into])
 
     return samples.mapInArrow(run, samples.select("*").schema.add(into, "string"))
 
 
 def op5_gumbel_segmentations(spark, sf_dir: str) -> DataFrame:
-    found = decoded(sampled_pieces(documents(spark, sf_dir)))
+    found = sampled_pieces(documents(spark, sf_dir), into="text")
     return found.select("doc_id", "sample", "n_pieces", F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
                         "log_prob", "perturbed", "inclusion")
