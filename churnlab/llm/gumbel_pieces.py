@@ -43,8 +43,10 @@ MODEL, SAMPLES, RANK_SHIFT, SEED = "piece_bpe_32k.model", 2, 10.0, 20240301
 SPACE = "▁"
 UNITS = re.compile(" *[^ ]+| +")
 #: Bytes of the arrays that the store of word lattices may fill before it is emptied, and text bytes that are sampled at once.
-STORE_BYTES, BATCH_BYTES = 90_000_000, 250_000
+STORE_BYTES, BATCH_BYTES = 160_000_000, 250_000
 U = np.uint64
+#: Log probabilities are added in this unit as integers, so a sum doesn't depend on what else is in a batch.
+UNIT = 2.0 ** -30
 
 
 @lru_cache(maxsize=2)
@@ -118,12 +120,12 @@ class Lattices:
 
     def clear(self):
         self.words: dict[str, int] = {}          # word -> its first node
-        self.size = 0
-        self.first = np.zeros(1, np.int32)       # node -> first edge
-        self.source, self.target = np.empty(0, np.int32), np.empty(0, np.int32)
-        self.log_p, self.running = np.empty(0), np.empty(0)
-        self.ids, self.id_from = np.empty(0, np.int32), np.zeros(1, np.int32)   # edge -> ids
-        self.held = 0                            # bytes of the arrays
+        self.size = self.held = 0                # nodes; bytes of the arrays
+        # first: node -> first edge; id_from: edge -> place of its first id
+        for name, kind in (("first", np.int64), ("source", np.int64), ("target", np.int64), ("log_p", np.float64),
+                           ("units", np.int64), ("running", np.float64), ("ids", np.int32), ("id_from", np.int64)):
+            whole = getattr(self, name).base if hasattr(self, name) else np.zeros(1000, kind)   # buffers stay
+            setattr(self, name, whole[:name in ("first", "id_from")])
 
     def matches(self, data: np.ndarray, at: np.ndarray, width: np.ndarray):
         """(source, target, id or -1, rank among the source's edges) of all edges, and edges a node.
@@ -191,7 +193,7 @@ class Lattices:
         node = np.flatnonzero(count)
         running[first[node] + count[node] - 1] = 2.0
         self.append(first=len(self.target) + np.cumsum(count), source=source + base, target=target + base, log_p=log_p,
-                    running=running, ids=flat, id_from=self.id_from[-1] + end)
+                    units=np.rint(log_p / UNIT).astype(np.int64), running=running, ids=flat, id_from=self.id_from[-1] + end)
         self.size = base + len(data)
 
     def append(self, **arrays: np.ndarray):
@@ -271,10 +273,6 @@ class Search:
         return max(self.sets, key=lambda s: s[0][s[2]], default=None)
 
 
-#: Log probabilities are added in this unit as integers, so a sum doesn't depend on what else is in a batch.
-UNIT = 2.0 ** -30
-
-
 def split(lat: Lattices, parts: list[tuple], turn: int) -> None:
     """For each part (search, key, edges, words, banned, fixed, value) a winner is drawn: keep it, and the
     parts of its set by the step where they leave it.
@@ -284,7 +282,7 @@ def split(lat: Lattices, parts: list[tuple], turn: int) -> None:
     sizes = np.array([len(p[2]) for p in parts], np.int64)
     start, edges = np.cumsum(sizes) - sizes, np.concatenate([p[2] for p in parts])
     log_p = lat.log_p[edges]
-    total = np.cumsum(np.append(0, np.rint(log_p / UNIT).astype(np.int64)))
+    total = np.cumsum(np.append(0, lat.units[edges]))
     at = np.flatnonzero(log_p < 0)          # the only edge of a node has 0
     own = np.repeat(np.arange(len(parts)), np.diff(np.searchsorted(at, np.append(start, len(edges)))))
     inside = at - start[own]
