@@ -35,13 +35,23 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_ids(docs: DataFrame, dropped: DataFrame, id_col: str, small: int = 2_000_000) -> DataFrame:
-    """``docs`` without the rows whose id is in ``dropped`` (one id column, materialised).
+def keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` stored with one more column, a number of its own for each row, and that column's name.
 
-    The ids are broadcast only when counted and at most ``small`` (16 bytes each); beyond that
-    the join shuffles. Rows with a null id stay.
+    The number is fixed by what is stored, so it names the same row in every later read and retry,
+    whatever the rows' ids are.
     """
-    ids = dropped.select(F.col(dropped.columns[0]).alias("_dropped")).distinct()
-    if ids.count() <= small:
-        ids = F.broadcast(ids)
-    return docs.join(ids, docs[id_col] == F.col("_dropped"), "left_anti")
+    key, taken = "_row", {c.lower() for c in docs.columns}
+    while key in taken:
+        key += "_"
+    return saved(docs.withColumn(key, F.monotonically_increasing_id()), name), key
+
+
+def small(df: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """``df`` to be broadcast if it is counted and has at most ``most`` rows; otherwise a join shuffles it."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def drop_rows(rows: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """``rows`` of :func:`keyed` without those whose number is in ``dropped`` (one column, materialised), and without the key."""
+    return rows.join(small(dropped.toDF(key)), key, "left_anti").drop(key)

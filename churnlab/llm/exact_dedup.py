@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, documents, drop_ids, saved, text_of
+from .common import SPACE, documents, drop_rows, keyed, saved, small, text_of
 
 
 def sha256(text: Column) -> Column:
@@ -39,11 +39,16 @@ def _combined(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16,
-                     digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """One row per document: id, keep_id, group_size, kept, text_sha256 (the digest column)."""
+                     digest: Callable[[Column], Column] = sha256, row: str | None = None) -> DataFrame:
+    """One row per document: id, keep_id, group_size, kept, text_sha256 (the digest column); with ``row``, a
+    column that numbers the rows, also _at (that number), _points and _hash (of the normalised text)."""
     text = text_of(text_col)
     normal = F.regexp_replace(text, f"[{SPACE}]+", "")
     slim = docs.select(F.col(id_col).cast("bigint").alias("_id"), normal.alias("_text"), F.length(text).alias("_points"))
+    more = [] if row is None else ["_at", "_points", "_hash"]
+    if row is not None:
+        slim = docs.select(F.col(id_col).cast("bigint").alias("_id"), normal.alias("_text"), F.length(text).alias("_points"), F.col(row).alias("_at"))
+        slim = slim.withColumn("_hash", F.xxhash64("_text"))
     slim = slim.withColumn("_digest", digest(F.col("_text")))
     # most code points first, then the smallest id, as one fixed-width number (hash aggregation)
     rank = (F.col("_points").cast("decimal(11,0)") * F.lit(str(2 ** 64)).cast("decimal(20,0)")
@@ -57,13 +62,13 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                    .select("_digest", F.when(F.col("_variants") > 1, F.col("_text")).alias("_variant"), "_keep", "_n"),
                    "exact-groups")
     collided = not groups.filter(F.col("_variant").isNotNull()).isEmpty()
-    members = slim.select("_id", "_digest", *(["_text"] if collided else []))
+    members = slim.select("_id", "_digest", *more, *(["_text"] if collided else []))
     on = members["_digest"] == groups["_digest"]
     if collided:
         on = on & (groups["_variant"].isNull() | (groups["_variant"] == members["_text"]))
     return members.join(groups, on).select(
         F.col("_id").alias(id_col), F.col("_keep").alias("keep_id"), F.col("_n").alias("group_size"),
-        F.col("_id").eqNullSafe(F.col("_keep")).alias("kept"), members["_digest"].alias("text_sha256"))
+        F.col("_id").eqNullSafe(F.col("_keep")).alias("kept"), members["_digest"].alias("text_sha256"), *more)
 
 
 def _by_digest():
@@ -72,10 +77,18 @@ def _by_digest():
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
-    """``docs`` with one document of each group of equal texts, all columns as they are."""
-    found = duplicate_groups(docs, id_col, text_col, salts)
-    dropped = saved(found.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col), "exact-dropped")
-    return drop_ids(docs, dropped, id_col)
+    """``docs`` with one row of each group of equal texts, all columns as they are.
+
+    Rows are dropped by a number of their own: of rows that repeat the id that stays, the one with the
+    most code points, then the first stored stays; other texts under the same id, or a null id, stay.
+    """
+    rows, key = keyed(docs, "exact-rows")
+    found = duplicate_groups(rows, id_col, text_col, salts, row=key).filter("group_size > 1")
+    told = saved(found.select("text_sha256", "_hash", "kept", "_points", "_at"), "exact-told")
+    best = told.filter("kept").groupBy("text_sha256", "_hash").agg(F.min_by("_at", F.struct(-F.col("_points"), F.col("_at"))).alias("_best"))
+    best = saved(best, "exact-best")
+    dropped = told.join(small(best), ["text_sha256", "_hash"]).filter("_at <> _best").select("_at")
+    return drop_rows(rows, key, saved(dropped, "exact-dropped"))
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:

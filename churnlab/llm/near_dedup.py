@@ -23,8 +23,8 @@ Nothing emits all pairs of a bucket:
   component are paired with members of other components, not yet seen and within the distance of
   a wider signature that is computed for these documents alone (``max_wide`` of ``WIDE`` bits, by the
   same probability: 230 of 2048 at 0.85, 291 at 0.8), so that few pairs but true links come out. A pair
-  with an equal chunk meets in the bucket of that chunk's first place alone. A link inside a
-  component can't change it.
+  comes out of one bucket alone: that of the first chunk in which it has one error at most, at the place of the
+  error or, if the chunks are equal, the first place. A link inside a component can't change it.
 
 Defined results: white space is ASCII, A-Z is lower-cased; fewer than five words make one shingle;
 a document without words has an empty set and is linked with nothing; a null text counts as
@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, drop_ids, saved, text_of
+from .common import documents, drop_rows, keyed, saved, small, text_of
 from .components import connected_components
 
 SHINGLE, PERCENT = 5, 85
@@ -199,17 +199,34 @@ def _named(reps: DataFrame, side: str) -> DataFrame:
     return reps.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("sig").alias(f"sig_{side}"))
 
 
-def _once(width: int):
-    """Whether a bucket is the one for its pair in this chunk: the masked place differs, or is the first."""
-    place = F.shiftright("key", 8 * (width - 1)).cast("int")
-    at = lambda s: F.substring(F.col(f"places_{s}"), place + 1, F.lit(1))
-    return (place % width == 0) | (at("a") != at("b"))
+def chunk_words(low: np.ndarray, chunks: int, width: int) -> np.ndarray:
+    """Each chunk of the index signature as one 64-bit word, a place to a byte."""
+    words = np.zeros((chunks, 8), np.uint8)
+    words[:, :width] = low[:chunks * width].astype(np.uint8).reshape(chunks, width)
+    return words.view(np.int64).ravel()
 
 
-def _about(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, compute, small: int = 2_000_000) -> DataFrame:
+def _once(chunks: int, width: int):
+    """Whether a bucket is the one for its pair: the first chunk with at most one error, and there the
+    place that differs, or the first place of an equal chunk."""
+    place = F.shiftright("key", 8 * (width - 1)).cast("int")
+    apart = lambda c: F.get("parts_a", F.lit(c)).bitwiseXOR(F.get("parts_b", F.lit(c)))
+    here = F.get("parts_a", F.floor(place / width).cast("int")).bitwiseXOR(F.get("parts_b", F.floor(place / width).cast("int")))
+    fits = here.bitwiseAND(F.call_function("shiftleft", F.lit(0xFF).cast("bigint"), (place % width * 8).cast("int"))) != 0
+    once = (place % width == 0) | fits
+    for c in range(chunks - 1):
+        one = [apart(c).bitwiseAND(F.lit(~(0xFF << 8 * k)).cast("bigint")) == 0 for k in range(width)]
+        met = one[0]
+        for x in one[1:]:
+            met = met | x
+        once = once & ~((place >= (c + 1) * width) & met)
+    return once
+
+
+def _about(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, compute) -> DataFrame:
     """(id, s): an array of 64-bit words about the shingle set of each wanted document, once per id.
 
-    The ids are broadcast when counted and at most ``small``; beyond that the join shuffles.
+    The ids are broadcast when counted and few; beyond that the join shuffles.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -217,9 +234,7 @@ def _about(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, compu
             found = [compute(shingle_hashes(_words(t), hashes)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "s"])
 
-    if wanted.count() <= small:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).cast("binary").alias("text")).join(wanted, "id", "left_semi")
+    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).cast("binary").alias("text")).join(small(wanted), "id", "left_semi")
     return texts.mapInArrow(run, "id bigint, s array<bigint>").dropDuplicates(["id"])
 
 
@@ -254,15 +269,17 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
 
     # what stars can't see: members of one bucket in different components
     told = met.join(label.withColumnRenamed("component", "c"), "id", "left").select("key", "id", F.coalesce("c", "id").alias("c"))
-    told = saved(told.join(reps.select("id", "n", "sig", "places"), "id").select("key", "id", "c", "n", "sig", "places"), "told")
+    told = saved(told.join(reps.select("id", "n", "sig"), "id").select("key", "id", "c", "n", "sig"), "told")
     spread = told.groupBy("key").agg(F.min("c").alias("first"), F.max("c").alias("last")).filter("first <> last")
     open_ = saved(told.join(spread, "key").drop("last"), "open-buckets")
-    wide = _about(open_.select("id").distinct(), docs, id_col, text_col, lambda s: bits(lowest(s, WIDE)))
-    open_ = saved(open_.join(wide.withColumnRenamed("s", "wide"), "id"), "open-wide")
-    side = lambda s: open_.select(F.col("wide").alias(f"wide_{s}"), F.col("places").alias(f"places_{s}"), "key", F.col("id").alias(s), F.col("c").alias(f"c_{s}"), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("first").alias(f"first_{s}"))
+    signed = lambda low: np.concatenate([bits(low), chunk_words(low, lim.chunks, lim.width)])
+    wide = _about(open_.select("id").distinct(), docs, id_col, text_col, lambda s: signed(lowest(s, WIDE)))
+    wide = wide.select("id", F.slice("s", 1, WIDE // 64).alias("wide"), F.slice("s", WIDE // 64 + 1, lim.chunks).alias("parts"))
+    open_ = saved(open_.join(wide, "id"), "open-wide")
+    side = lambda s: open_.select("key", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("wide", "parts", "c", "n", "sig", "first")])
     cross = side("a").filter("c_a <> first_a").join(side("b"), "key").filter(
-        "c_a <> c_b AND (c_b = first_b OR a < b)").filter(_close("a", "b", lim) & _close_wide(lim) & _once(lim.width))
-    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        "c_a <> c_b AND (c_b = first_b OR a < b)").filter(_close("a", "b", lim) & _close_wide(lim) & _once(lim.chunks, lim.width))
+    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = saved(cross.join(near, ["a", "b"], "left_anti"), "cross-pairs")
     if not more.isEmpty():
         links = links.union(saved(confirmed(more, docs, id_col, text_col, percent), "links"))
@@ -278,10 +295,21 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``docs`` with the document of the smallest id of each component, all columns as they are."""
-    found = near_duplicate_components(docs, id_col, text_col, percent)
-    dropped = saved(found.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col), "near-dropped")
-    return drop_ids(docs, dropped, id_col)
+    """``docs`` with one row of each component, all columns as they are.
+
+    Rows are linked and dropped by a number of their own, so texts that share an id are told apart.
+    The smallest id of a component stays, then the first stored row; rows with a null id stay, too.
+    """
+    rows, key = keyed(docs, "near-rows")
+    named = rows.filter(F.col(id_col).isNotNull())
+    found = saved(near_duplicate_components(named, key, text_col, percent).select(key, "component_id"), "near-found")
+    linked = small(saved(found.filter(F.col(key) != F.col("component_id")).select("component_id").distinct(), "near-linked"))
+    ids = rows.select(key, F.col(id_col).cast("bigint").alias("_id"))
+    told = saved(found.join(linked, "component_id").join(ids, key), "near-told")
+    order = F.struct("_id", key)
+    best = small(saved(told.groupBy("component_id").agg(F.min_by(key, order).alias("_best")), "near-best"))
+    dropped = told.join(best, "component_id").filter(F.col(key) != F.col("_best")).select(key)
+    return drop_rows(rows, key, saved(dropped, "near-dropped"))
 
 
 def op3_multi_index_hamming(spark, sf_dir: str) -> DataFrame:
