@@ -68,13 +68,13 @@ def index_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
 
 
 def probe_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
-    """Keys that any line of at most this length within ``edits`` has in the index."""
+    """Keys that any line of at most this length within ``edits`` has in the index, but for the line's own index keys."""
     keys = []
     for less in range(edits + 1):
         other = length - less
         for i, (start, size) in enumerate(_segments(other, edits)):
             low, high = max(-i, less - (edits - i)), min(i, less + (edits - i))
-            keys += [F.when((start + k >= 0) & (start + k + size <= length), _key(other, i, line, start + k, size)) for k in range(low, high + 1)]
+            keys += [F.when((start + k >= 0) & (start + k + size <= length), _key(other, i, line, start + k, size)) for k in range(low, high + 1) if less or k]
     return F.array(*keys)  # null where a place is out of the line
 
 
@@ -141,7 +141,8 @@ def near_links(lines: DataFrame, known: DataFrame, edits: int = EDITS, min_chars
     flips = lambda c: F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
     close = F.expr(f"l_b BETWEEN l_a AND l_a + {edits} AND h_a <> h_b AND (l_a < l_b OR h_a < h_b)")
     close = close & (flips("chars") <= 2 * edits) & (flips("pairs") <= 4 * edits)
-    found = side("a", "indexed").join(side("b", "NOT indexed"), "key").filter(close).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
+    # a line's own index keys are among those that it probes
+    found = side("a", "indexed").join(side("b", "true"), "key").filter(close).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
     text = lambda s: texts.select(F.col("h").alias(s), F.col("line").alias(f"line_{s}"))
     read = found.join(text("a"), "a").join(text("b"), "b")
     return saved(read.filter(within(F.col("line_a"), F.col("line_b"), edits)).select("a", "b"), "line-links")
