@@ -16,13 +16,16 @@ the threshold differs in more than ``max_bits`` of them (79 of 512 at 0.85, 96 a
 Nothing emits all pairs of a bucket:
 
 * documents with equal word sequences become one class first, represented by the smallest id;
-* each bucket ties its members to its smallest one (a star). Star pairs within the distance are
-  confirmed on the full shingle sets, and the links are joined into components;
+* each bucket ties its members to one of them (a star), the one that meets most others in all its
+  buckets. Star pairs within the distance are confirmed on the full shingle sets, and the links are
+  joined into components;
 * links that stars can't see lie between different components inside one bucket. Only buckets
   with more than one component go on, and there only members outside the bucket's first
   component are paired with members of other components, not yet seen and within the distance of
   a wider signature that is computed for these documents alone (``max_wide`` of ``WIDE`` bits, by the
-  same probability: 230 of 2048 at 0.85, 291 at 0.8), so that few pairs but true links come out. A pair
+  same probability: 230 of 2048 at 0.85, 291 at 0.8), and whose sets can reach the threshold by the
+  16-bit marks of their shingles (a bound that no link fails; sets over ``MARKED`` shingles pass),
+  so that hardly a pair but true links comes out of the join. A pair
   comes out of one bucket alone: that of the first chunk in which it has one error at most, at the place of the
   error or, if the chunks are equal, the first place. A link inside a component can't change it.
 
@@ -50,6 +53,8 @@ from .components import connected_components
 
 SHINGLE, PERCENT = 5, 85
 BITS, WIDE = 512, 2048
+#: Sets of up to so many shingles are compared by 16-bit marks before pairs come out of a join.
+MARKED = 1024
 #: Keys of a document; chances that a pair at the threshold is beyond the index or a bit limit.
 MAX_KEYS, MISSED, FILTERED = 80, 1e-4, 1e-9
 #: Odd multipliers and offsets of the hash family, from one seed.
@@ -223,6 +228,21 @@ def _once(chunks: int, width: int):
     return once
 
 
+def set_marks(shingles: np.ndarray) -> np.ndarray:
+    """The distinct 16-bit marks of a set, for sets of up to ``MARKED`` shingles; none for larger ones."""
+    return np.unique(shingles.astype(np.uint16)).view(np.int16).astype(np.int64) if len(shingles) <= MARKED else np.empty(0, np.int64)
+
+
+def _may_link(lim: Limits):
+    """Whether the sets can reach the threshold, by their marks: a common mark stands for one common shingle,
+    or for more by as many as share a mark in either set. Sets without marks may."""
+    lost = lambda s: F.col(f"n_{s}") - F.size(f"marks_{s}")
+    common = F.size(F.array_intersect("marks_a", "marks_b")) + F.least(lost("a"), lost("b"))
+    unmarked = (F.size("marks_a") == 0) | (F.size("marks_b") == 0)
+    # the marks are named once: what occurs twice in a condition is worked out for every pair
+    return unmarked | (common * (100 + lim.percent) >= (F.col("n_a") + F.col("n_b")) * lim.percent)
+
+
 def _about(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, compute) -> DataFrame:
     """(id, s): an array of 64-bit words about the shingle set of each wanted document, once per id.
 
@@ -260,9 +280,14 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     classes = prints.filter("n > 0 AND id IS NOT NULL").groupBy("digest", "n", "places", "sig").agg(F.min("id").alias("id"))
     reps = saved(classes, "classes")
     keys = saved(bucket_keys(reps, lim.chunks, lim.width), "bucket-keys")
-    hubs = saved(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("members")).filter("members > 1"), "hubs")
-    met = saved(keys.join(hubs, "key").select("key", "id", "hub"), "buckets")
-    stars = met.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    shared = keys.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    met = saved(keys.join(shared, "key"), "shared-keys")
+    # a bucket's hub is the member with most company in its buckets: few hubs serve a whole group
+    company = met.groupBy("id").agg(F.sum("members").alias("company"))
+    met = saved(met.join(company, "id").select("key", "id", "company"), "companies")
+    hubs = met.groupBy("key").agg(F.min_by("id", F.struct(-F.col("company"), "id")).alias("hub"))
+    met = saved(met.join(hubs, "key").select("key", "id", "hub"), "buckets")
+    stars = met.filter("id <> hub").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
     near = saved(stars.join(_named(reps, "a"), "a").join(_named(reps, "b"), "b").filter(_close("a", "b", lim)).select("a", "b"), "star-pairs")
     links = saved(confirmed(near, docs, id_col, text_col, percent), "links")
     label = saved(connected_components(links), "components")
@@ -272,13 +297,17 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     told = saved(told.join(reps.select("id", "n", "sig"), "id").select("key", "id", "c", "n", "sig"), "told")
     spread = told.groupBy("key").agg(F.min("c").alias("first"), F.max("c").alias("last")).filter("first <> last")
     open_ = saved(told.join(spread, "key").drop("last"), "open-buckets")
-    signed = lambda low: np.concatenate([bits(low), chunk_words(low, lim.chunks, lim.width)])
-    wide = _about(open_.select("id").distinct(), docs, id_col, text_col, lambda s: signed(lowest(s, WIDE)))
-    wide = wide.select("id", F.slice("s", 1, WIDE // 64).alias("wide"), F.slice("s", WIDE // 64 + 1, lim.chunks).alias("parts"))
+    def signed(shingles: np.ndarray) -> np.ndarray:
+        low = lowest(shingles, WIDE)
+        return np.concatenate([bits(low), chunk_words(low, lim.chunks, lim.width), set_marks(shingles)])
+
+    wide, words = _about(open_.select("id").distinct(), docs, id_col, text_col, signed), WIDE // 64
+    wide = wide.select("id", F.slice("s", 1, words).alias("wide"), F.slice("s", words + 1, lim.chunks).alias("parts"),
+                       F.expr(f"slice(s, {words + lim.chunks + 1}, {MARKED})").cast("array<smallint>").alias("marks"))
     open_ = saved(open_.join(wide, "id"), "open-wide")
-    side = lambda s: open_.select("key", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("wide", "parts", "c", "n", "sig", "first")])
+    side = lambda s: open_.select("key", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("wide", "parts", "marks", "c", "n", "sig", "first")])
     cross = side("a").filter("c_a <> first_a").join(side("b"), "key").filter(
-        "c_a <> c_b AND (c_b = first_b OR a < b)").filter(_close("a", "b", lim) & _close_wide(lim) & _once(lim.chunks, lim.width))
+        "c_a <> c_b AND (c_b = first_b OR a < b)").filter(_close("a", "b", lim) & _close_wide(lim) & _once(lim.chunks, lim.width) & _may_link(lim))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = saved(cross.join(near, ["a", "b"], "left_anti"), "cross-pairs")
     if not more.isEmpty():
