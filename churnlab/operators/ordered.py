@@ -73,13 +73,23 @@ def _long_two_sample(ref: DataFrame, new: DataFrame, cols: list[str]) -> DataFra
         F.count_if(F.col("side") == 1).cast("bigint").alias("b"))
 
 
-def ks_2samp(ref: DataFrame, new: DataFrame, cols: list[str], with_p: bool = True,
-             alpha: float = 0.05) -> DataFrame:
-    """Q8: two-sample KS statistic per feature: max over distinct values of |F_ref - F_new|.
+def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature, value, n): the distinct non-NULL values of each column with their counts."""
+    return (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot([], cols, "feature", "value").where(F.col("value").isNotNull())
+            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
 
-    NULLs are dropped per feature. ``n_ref``/``n_new`` are the non-NULL counts.
-    """
-    c = prefix_sums(_long_two_sample(ref, new, cols), ["feature"], "value", ["a", "b"], total_prefix="n_")
+
+def merged_counts(ref: DataFrame, new: DataFrame) -> DataFrame:
+    """(feature, value, a, b) from two tables of (feature, value, n); rows of one value are added up."""
+    side = lambda df, a, b: df.select("feature", "value", (F.col("n") * a).alias("a"), (F.col("n") * b).alias("b"))
+    both = side(ref, 1, 0).unionByName(side(new, 0, 1))
+    return both.groupBy("feature", "value").agg(F.sum("a").cast("bigint").alias("a"), F.sum("b").cast("bigint").alias("b"))
+
+
+def ks_counts(counts: DataFrame, with_p: bool = True, alpha: float = 0.05) -> DataFrame:
+    """Q8 over (feature, value, a, b): the largest |F_a - F_b| over the distinct values of each feature."""
+    c = prefix_sums(counts, ["feature"], "value", ["a", "b"], total_prefix="n_")
     c = c.withColumnsRenamed({"n_a": "n_ref", "n_b": "n_new"})
     # an empty side leaves the statistic undefined (NULL), not an error
     gap = F.abs(F.try_divide(F.col("cum_a"), F.col("n_ref")) - F.try_divide(F.col("cum_b"), F.col("n_new")))
@@ -94,6 +104,15 @@ def ks_2samp(ref: DataFrame, new: DataFrame, cols: list[str], with_p: bool = Tru
     return out.withColumn("ks_statistic", F.round("ks_statistic", 6))
 
 
+def ks_2samp(ref: DataFrame, new: DataFrame, cols: list[str], with_p: bool = True,
+             alpha: float = 0.05) -> DataFrame:
+    """Q8: two-sample KS statistic per feature: max over distinct values of |F_ref - F_new|.
+
+    NULLs are dropped per feature. ``n_ref``/``n_new`` are the non-NULL counts.
+    """
+    return ks_counts(_long_two_sample(ref, new, cols), with_p, alpha)
+
+
 def _score_table(df: DataFrame, score: str, label: str, keys: list[str]) -> DataFrame:
     y = F.col(label).cast("int")
     return (df.where(F.col(score).isNotNull())

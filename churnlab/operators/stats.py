@@ -173,7 +173,11 @@ def chi2_gof(ref: DataFrame, new: DataFrame, label: str = S.LABEL, with_p: bool
     Expected counts are reference share x new rows; chi2 = sum (obs - exp)^2 / exp over cells
     with exp > 0.
     """
-    r = ref.agg(F.avg(F.col(label).cast("double")).alias("ref_rate"))
+    return chi2_gof_rate(ref.agg(F.avg(F.col(label).cast("double")).alias("ref_rate")), new, label, with_p, alpha)
+
+
+def chi2_gof_rate(r: DataFrame, new: DataFrame, label: str = S.LABEL, with_p: bool = True, alpha: float = 0.05) -> DataFrame:
+    """Q9 against a one-row table with the reference's ``ref_rate``."""
     n = new.agg(F.count(F.lit(1)).alias("n_new"), F.avg(F.col(label).cast("double")).alias("new_rate"))
     j = side_by_side(r, n)
     o1, o0 = F.col("new_rate") * F.col("n_new"), (1 - F.col("new_rate")) * F.col("n_new")

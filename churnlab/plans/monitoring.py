@@ -11,6 +11,7 @@ import datetime as _dt
 import time
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,13 +35,16 @@ HEALTHY_AUC, WARNING_AUC = 0.85, 0.75
 DRIFT_CRITICAL_PCT, DRIFT_WARNING_PCT = 30, 10
 
 
-def _one(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Place two one-row tables side by side (stacked and re-aggregated, no join)."""
-    return side_by_side(a, b)
+def _one(*rows: DataFrame) -> DataFrame:
+    """Place one-row tables side by side (stacked and re-aggregated, no join)."""
+    return side_by_side(*rows)
 
 
 # ---------------------------------------------------------------- M1 reference profile
 
+PROFILE_SCHEMA = "kind string, feature string, value double, n bigint, version string"
+
+
 def reference_profile(ref: DataFrame, features: list[str], score_col: str | None = None,
                       label: str = S.LABEL) -> DataFrame:
     """M1: long table (kind, feature, value, n) of the reference distributions, written once.
@@ -48,15 +52,64 @@ def reference_profile(ref: DataFrame, features: list[str], score_col: str | None
     Feature values and scores as distinct-value counts (what KS needs), label shares as counts.
     """
     cols = list(features) + ([score_col] if score_col else [])
-    long = (ref.select(*[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot([], cols, "feature", "value").where(F.col("value").isNotNull())
-            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    long = (W.distinct_counts(ref, cols)
             .withColumn("kind", F.when(F.col("feature") == F.lit(score_col or ""), "prediction").otherwise("feature")))
     lab = ref.groupBy(F.col(label).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n")) \
         .withColumns({"feature": F.lit(label), "kind": F.lit("target")})
     return long.unionByName(lab).select("kind", "feature", "value", "n")
 
 
+def save_profile(profile: DataFrame, path: str, version: str | None = None) -> str:
+    """M1: append a version of the profile; the cycle reads the latest one and never the reference rows."""
+    version = version or _dt.datetime.now(_dt.timezone.utc).isoformat()
+    profile.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(path)
+    return version
+
+
+def load_profile(spark: SparkSession, path: str) -> DataFrame | None:
+    """The latest version of the stored profile (only its files are read), None where there is none."""
+    try:
+        stored = spark.read.schema(PROFILE_SCHEMA).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    # the partition column alone: an aggregate over folder names
+    version = stored.agg(F.max("version")).first()[0]
+    return None if version is None else stored.where(F.col("version") == version).drop("version")
+
+
+def profile_feature_drift(profile: DataFrame, new: DataFrame, features: list[str], alpha: float = DRIFT_ALPHA):
+    """M3 on M1: KS of the batch's distinct-value counts against the stored ones; the summary row and the rows."""
+    kept = profile.where((F.col("kind") == "feature") & F.col("feature").isin(list(features)))
+    held = {r[0] for r in kept.select("feature").distinct().collect()}  # one row per feature
+    present = [f for f in features if f in new.columns and f in held]
+    kept = kept.where(F.col("feature").isin(present))
+    ks = W.ks_counts(W.merged_counts(kept, W.distinct_counts(new, present)), alpha=alpha) if present else _no_ks(new.sparkSession)
+    return Q.drift_rate(ks, present), ks
+
+
+def _no_ks(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "feature string, ks_statistic double, n_ref bigint, n_new bigint, p_value double, drift_detected boolean")
+
+
+def profile_prediction_drift(profile: DataFrame, new_scores: DataFrame, score_col: str = "churn_probability",
+                             alpha: float = DRIFT_ALPHA) -> DataFrame:
+    """M4 on M1: KS of the batch's scores against the stored score counts, and both means."""
+    kept = profile.where(F.col("kind") == "prediction").withColumn("feature", F.lit(score_col))
+    ks = W.ks_counts(W.merged_counts(kept, W.distinct_counts(new_scores, [score_col])), alpha=alpha)
+    means = _one(kept.agg(F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("mean_prediction_ref")),
+                 new_scores.agg(F.avg(score_col).alias("mean_prediction_new")))
+    return _one(ks.select("drift_detected", "p_value", "ks_statistic"), means)
+
+
+def profile_target_drift(profile: DataFrame, new: DataFrame, label: str = S.LABEL, alpha: float = DRIFT_ALPHA) -> DataFrame:
+    """M5 on M1: chi-squared goodness of fit of the batch's labels to the stored label shares."""
+    kept = profile.where((F.col("kind") == "target") & F.col("value").isNotNull())
+    rate = kept.agg(F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("ref_rate"))
+    return Q.chi2_gof_rate(rate, new, label, alpha=alpha)
+
+
 # ---------------------------------------------------------------- M2-M6 checks and rules
 
 def evaluate_performance(scored: DataFrame, threshold: float = PERFORMANCE_THRESHOLD) -> DataFrame:
@@ -178,44 +231,85 @@ REPORT_SCHEMA = T.StructType([
             T.StructField("feature", T.StringType()), T.StructField("drift_detected", T.BooleanType()),
             T.StructField("p_value", T.DoubleType()), T.StructField("ks_statistic", T.DoubleType())]))),
     ])),
+    T.StructField("prediction_drift", T.StructType([
+        T.StructField("drift_detected", T.BooleanType()), T.StructField("p_value", T.DoubleType()),
+        T.StructField("ks_statistic", T.DoubleType()), T.StructField("mean_prediction_ref", T.DoubleType()),
+        T.StructField("mean_prediction_new", T.DoubleType())])),
+    T.StructField("target_drift", T.StructType([
+        T.StructField("n_new", T.LongType()), T.StructField("chi2_statistic", T.DoubleType()),
+        T.StructField("churn_rate_ref", T.DoubleType()), T.StructField("churn_rate_new", T.DoubleType()),
+        T.StructField("p_value", T.DoubleType()), T.StructField("drift_detected", T.BooleanType())])),
     T.StructField("retraining", T.StructType([
         T.StructField("recommended", T.BooleanType()), T.StructField("reason", T.StringType())])),
 ])
 
 
-def monitoring_report(model, ref: DataFrame, new: DataFrame, features: list[str],
+def monitoring_report(model, profile: DataFrame, new: DataFrame, features: list[str],
                       with_labels: bool = True, now: str | None = None) -> DataFrame:
-    """M7: one report row: performance, feature / prediction / target drift and the decision.
+    """M7: one report row (``REPORT_SCHEMA``): performance, feature / prediction / target drift and the decision.
 
-    Label-dependent parts are skipped when ``with_labels`` is false (then only drift decides).
+    ``profile`` is the stored reference profile (M1) with the live model's scores; only the batch is
+    scanned. Label-dependent parts are NULL when ``with_labels`` is false (then only drift decides).
     """
+    from ..session import checkpoint
     ts = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
-    new_scored = MD.score(model, new)
-    ref_scored = MD.score(model, ref)
-    drift, ks = feature_drift(ref, new, features)
-    pdrift = prediction_drift(ref_scored, new_scored)
+    new_scored = checkpoint(MD.score(model, new))
+    drift, ks = profile_feature_drift(profile, new_scored, features)
+    drift, ks = checkpoint(drift), checkpoint(ks)
+    pdrift = profile_prediction_drift(profile, new_scored)
     details = ks.agg(F.sort_array(F.collect_list(F.struct("feature", "drift_detected", "p_value", "ks_statistic")))
                      .alias("drift_details"))
-    fd = _one(drift, details)
-    n = new.agg(F.count(F.lit(1)).alias("sample_size"))
+    base = _one(new_scored.agg(F.count(F.lit(1)).alias("sample_size")), _struct(_one(drift, details), "feature_drift"),
+                _struct(pdrift, "prediction_drift"))
     if with_labels:
-        perf = evaluate_performance(new_scored)
-        tdrift = target_drift(ref, new)
+        perf = checkpoint(evaluate_performance(new_scored))
+        tdrift = checkpoint(profile_target_drift(profile, new_scored))
         decision = should_retrain(perf, drift, tdrift)
-        base = _one(_one(_one(_one(n, perf.select(F.struct(*[c for c in perf.columns if c != "below_threshold"])
-                                                         .alias("performance"))),
-                              fd.select(F.struct(*fd.columns).alias("feature_drift"))),
-                         pdrift.select(F.struct(*pdrift.columns).alias("prediction_drift"))),
-                    tdrift.select(F.struct(*tdrift.columns).alias("target_drift")))
+        base = _one(base, _struct(MD.rounded_metrics(perf.drop("below_threshold")), "performance"), _struct(tdrift, "target_drift"))
     else:
         decision = drift.select((F.col("drift_rate") > DRIFT_RATE_TRIGGER).alias("recommended"),
                                 F.when(F.col("drift_rate") > DRIFT_RATE_TRIGGER,
                                        F.format_string("High drift rate: %.1f%%", F.col("drift_rate") * 100))
                                 .otherwise(F.lit("No retraining needed")).alias("reason"))
-        base = _one(_one(n, fd.select(F.struct(*fd.columns).alias("feature_drift"))),
-                    pdrift.select(F.struct(*pdrift.columns).alias("prediction_drift")))
-    out = _one(base, decision.select(F.struct("recommended", "reason").alias("retraining")))
-    return out.withColumn("timestamp", F.lit(ts))
+    out = _one(base, _struct(decision, "retraining")).withColumn("timestamp", F.lit(ts))
+    return out.select(*[_shaped(out, f) for f in REPORT_SCHEMA])
+
+
+def _struct(row: DataFrame, name: str) -> DataFrame:
+    return row.select(F.struct(*row.columns).alias(name))
+
+
+def _shaped(report: DataFrame, field: T.StructField) -> Column:
+    """A report column in the order and types of ``REPORT_SCHEMA``; NULL where the report has none."""
+    if field.name not in report.columns:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    if not isinstance(field.dataType, T.StructType):
+        return F.col(field.name).cast(field.dataType).alias(field.name)
+    parts = F.struct(*[F.col(f"{field.name}.{f.name}").cast(f.dataType).alias(f.name) for f in field.dataType])
+    return F.when(F.col(field.name).isNotNull(), parts).alias(field.name)
+
+
+def drift_alert(report_row) -> tuple[str, str]:
+    """Subject and text of the drift alert: counts, drift rate, the first five drifted features."""
+    d = report_row["feature_drift"]
+    body = "\n".join([f"Features drifted: {d['features_drifted']}/{d['features_checked']}", f"Drift rate: {d['drift_rate']:.1%}",
+                      f"Top drifted features: {', '.join((d['drifted_features'] or [])[:5])}", f"Timestamp: {report_row['timestamp']}"])
+    return "Data Drift Detected", body
+
+
+def started_alert(reason: str) -> tuple[str, str]:
+    """Subject and text of the alert before a retraining."""
+    return "Model Retraining Started", f"Reason: {reason}"
+
+
+def completed_alert(result: "RetrainResult") -> tuple[str, str]:
+    """Subject and text of the alert after a retraining."""
+    state = "DEPLOYED" if result.deployed else "NOT DEPLOYED"
+    score = 0.0 if result.best_score is None else result.best_score
+    body = "\n".join([f"Best model: {result.best_model or 'Unknown'}", f"Best score: {score:.4f}", f"Deployed: {result.deployed}",
+                      f"Reason: {result.comparison_reason}", f"Duration: {result.duration_seconds:.1f} seconds",
+                      f"Timestamp: {result.timestamp}"])
+    return f"Model Retraining Complete - {state}", body
 
 
 def alert_rows(spark: SparkSession, kind: str, subject: str, body: str) -> DataFrame:

@@ -21,6 +21,7 @@ from ..functions.features import FeatureStats, engineer_features, fit_feature_st
 from ..operators import clean as C
 from ..operators import models as MD
 from ..operators import sampling as SP
+from ..operators import profile as P
 from ..operators.profile import merge_training_data
 from ..session import checkpoint
 from ..sources import io as IO
@@ -93,20 +94,38 @@ def retraining_rows(spark: SparkSession, reference: DataFrame, batches: str, fea
     return checkpoint(merge_training_data(reference, landed, features).withColumn(S.ID, F.monotonically_increasing_id()))
 
 
-def monitoring_cycle(spark: SparkSession, out_dir: str, reference: DataFrame, batch: DataFrame, features: list[str],
+def profile_of(model, reference: DataFrame, features: list[str]) -> DataFrame:
+    """M1 of the reference with the model's scores (without a model, no score counts)."""
+    if model is None:
+        return M.reference_profile(reference, features)
+    return M.reference_profile(MD.score(model, reference), features, "churn_probability")
+
+
+def monitoring_cycle(spark: SparkSession, out_dir: str, reference: DataFrame | None, batch: DataFrame, features: list[str],
                      model, with_labels: bool = True, cooldown_days: int = 0, retrain_data: DataFrame | None = None,
                      model_dir: str | None = None) -> dict:
     """Land the batch, build the report, write it, raise alerts, honour the cooldown and
-    retrain when recommended, by default on the reference and all landed batches. Reports, alerts and retraining summaries are tables."""
+    retrain when recommended, by default on the reference and all landed batches. Reports, alerts and
+    retraining summaries are tables.
+
+    The reference is read in the first cycle, when its profile is stored, in a retraining, and when a new
+    model's scores replace those of the profile; any other cycle reads the batch and the profile only.
+    """
     ts = IO.write_batch(batch, f"{out_dir}/batches")
-    report = M.monitoring_report(model, reference, batch, features, with_labels)
+    profile = M.load_profile(spark, f"{out_dir}/profile")
+    if profile is None:
+        M.save_profile(profile_of(model, reference, features), f"{out_dir}/profile")
+        profile = M.load_profile(spark, f"{out_dir}/profile")
+    report = M.monitoring_report(model, profile, batch, features, with_labels)
     IO.write_report(report, f"{out_dir}/reports")
-    r = report.select("retraining.*", "feature_drift.drift_rate").first()
-    out = {"batch_ts": ts, "recommended": r["recommended"], "reason": r["reason"], "drift_rate": r["drift_rate"],
-           "retrained": False}
-    if not r["recommended"]:
+    # the decision is read off the written report; nothing is computed twice
+    r = P.latest(IO.read_reports(spark, f"{out_dir}/reports", M.REPORT_SCHEMA), "timestamp").first()
+    out = {"batch_ts": ts, "recommended": r["retraining"]["recommended"], "reason": r["retraining"]["reason"],
+           "drift_rate": r["feature_drift"]["drift_rate"], "retrained": False}
+    alert = lambda kind, text: M.alert_rows(spark, kind, *text).write.mode("append").parquet(f"{out_dir}/alerts")
+    if not out["recommended"]:
         return out
-    M.alert_rows(spark, "drift", "Retraining recommended", r["reason"]).write.mode("append").parquet(f"{out_dir}/alerts")
+    alert("drift", M.drift_alert(r))
     hist_path = f"{out_dir}/retraining"
     try:
         hist = spark.read.parquet(hist_path)
@@ -118,15 +137,17 @@ def monitoring_cycle(spark: SparkSession, out_dir: str, reference: DataFrame, ba
     if not gate["allowed"]:
         out["reason"] += f"; cooldown: {gate['days_since']} days since last retraining"
         return out
+    alert("retrain_started", M.started_alert(out["reason"]))
     data = retrain_data if retrain_data is not None else retraining_rows(spark, reference, f"{out_dir}/batches", features)
-    res, new_model = M.retrain(spark, data, features, r["reason"], champion=model, model_dir=model_dir)
+    res, new_model = M.retrain(spark, data, features, out["reason"], champion=model, model_dir=model_dir)
     summary = spark.createDataFrame([(res.success, res.deployed, res.trigger_reason, res.comparison_reason,
                                       res.best_model, res.best_score, res.duration_seconds, res.timestamp)],
                                     "success boolean, deployed boolean, trigger_reason string, comparison_reason string, "
                                     "best_model string, best_score double, duration_seconds double, timestamp string")
     summary.write.mode("append").parquet(hist_path)
-    M.alert_rows(spark, "retrain", "Retraining finished", res.comparison_reason) \
-        .write.mode("append").parquet(f"{out_dir}/alerts")
+    alert("retrain", M.completed_alert(res))
+    if res.deployed and reference is not None:
+        M.save_profile(profile_of(new_model, reference, features), f"{out_dir}/profile")
     out.update({"retrained": res.success, "deployed": res.deployed, "comparison": res.comparison_reason})
     return out
 

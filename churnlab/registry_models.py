@@ -48,7 +48,7 @@ def q_candidates(spark, sf):
     for i, kind in enumerate(MD.KINDS):
         tuned = kind in MD.SEARCH_SPACE
         m = MD.random_search(train, MODEL_FEATURES, kind).model if tuned else MD.fit(train, MODEL_FEATURES, kind)
-        met = MD.class_metrics(MD.score(m, test)).select(F.lit(i).alias("position"), F.lit(kind).alias("model"), "*")
+        met = MD.rounded_metrics(MD.class_metrics(MD.score(m, test))).select(F.lit(i).alias("position"), F.lit(kind).alias("model"), "*")
         out = met if out is None else out.unionByName(met)
     return out
 

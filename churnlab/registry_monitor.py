@@ -67,7 +67,7 @@ def _auc_sql(pcol, where="TRUE"):
   , m AS ({_metrics_sql('p1')})
   SELECT accuracy, precision, recall, f1_score, ROUND({_auc_sql('p1')}, 6) AS roc_auc, sample_size FROM m"""))
 def q_class_metrics(spark, sf):
-    return MD.class_metrics(_scored(features(spark, sf)))
+    return MD.rounded_metrics(MD.class_metrics(_scored(features(spark, sf))))
 
 
 @register("confusion_matrix_standin", W_(_SCORED_SQL, """
@@ -273,6 +273,56 @@ def q_prediction_drift(spark, sf):
                       F.round("mean_prediction_new", 6).alias("mean_prediction_new"))
 
 
+# ---------------------------------------------------------------- monitoring on the stored profile
+
+def _stored(profile):
+    """The profile as a cycle finds it: written, and read back."""
+    from .session import checkpoint
+    return checkpoint(profile)
+
+
+@register("feature_drift_profile", _KS_P + """
+  SELECT feature, ROUND(ks_statistic, 6) AS ks_statistic, n_ref, n_new, ROUND(p_value, 6) AS p_value,
+         p_value < 0.05 AS drift_detected FROM ksp""")
+def q_feature_drift_profile(spark, sf):
+    """M3 on M1: the batch against the stored distinct-value counts."""
+    ref, new = _drift_split(spark, sf, "drift")
+    profile = _stored(M.reference_profile(ref, DRIFT_FEATURES))
+    return M.profile_feature_drift(profile, new, DRIFT_FEATURES)[1].withColumn("p_value", F.round("p_value", 6))
+
+
+@register("prediction_drift_profile", W_(_SCORED_SQL, f"""
+  , d AS (SELECT p1 AS value, COUNT_IF(account_length >= 1800) AS a, COUNT_IF(NOT (account_length >= 1800)) AS b
+          FROM scored GROUP BY 1),
+  c AS (SELECT SUM(a) OVER (ORDER BY value) AS ca, SUM(b) OVER (ORDER BY value) AS cb,
+               SUM(a) OVER () AS na, SUM(b) OVER () AS nb FROM d),
+  ks AS (SELECT MAX(ABS(ca / NULLIF(na, 0) - cb / NULLIF(nb, 0))) AS ks_statistic, ANY_VALUE(na) AS n_ref, ANY_VALUE(nb) AS n_new FROM c),
+  p AS (SELECT ks_statistic, {_ks_p_sql('ks_statistic', 'n_ref', 'n_new')} AS p_value FROM ks)
+  SELECT p_value < 0.05 AS drift_detected, ROUND(p_value, 6) AS p_value, ROUND(ks_statistic, 6) AS ks_statistic,
+    (SELECT ROUND(AVG(p1), 6) FROM scored WHERE account_length >= 1800) AS mean_prediction_ref,
+    (SELECT ROUND(AVG(p1), 6) FROM scored WHERE NOT (account_length >= 1800)) AS mean_prediction_new FROM p"""))
+def q_prediction_drift_profile(spark, sf):
+    """M4 on M1: KS, p, flag and both means from the stored score counts and the scored batch."""
+    ref, new = _drift_split(spark, sf, "drift")
+    profile = _stored(M.reference_profile(_scored(ref), DRIFT_FEATURES, "churn_probability"))
+    out = M.profile_prediction_drift(profile, _scored(new))
+    return out.withColumns({c: F.round(c, 6) for c in ("p_value", "mean_prediction_ref", "mean_prediction_new")})
+
+
+@register("target_drift_profile", W_(O.FEATURES, f"""
+  , t AS (SELECT AVG(CAST(churn AS DOUBLE)) FILTER (WHERE account_length >= 1800) AS rr,
+                 AVG(CAST(churn AS DOUBLE)) FILTER (WHERE NOT (account_length >= 1800)) AS nr,
+                 COUNT_IF(NOT (account_length >= 1800)) AS nn FROM features),
+  x AS (SELECT *, (CASE WHEN rr * nn > 0 THEN POW(nr * nn - rr * nn, 2) / (rr * nn) ELSE 0 END)
+             + (CASE WHEN (1 - rr) * nn > 0 THEN POW((1 - nr) * nn - (1 - rr) * nn, 2) / ((1 - rr) * nn) ELSE 0 END) AS c FROM t)
+  SELECT CAST(nn AS BIGINT) AS n_new, ROUND(c, 6) AS chi2_statistic, ROUND(rr, 6) AS churn_rate_ref, ROUND(nr, 6) AS churn_rate_new,
+         c > {CHI2_1DF_05} AS drift_detected FROM x"""))
+def q_target_drift_profile(spark, sf):
+    """M5 on M1: label counts of the batch against the stored label shares."""
+    ref, new = _drift_split(spark, sf, "drift")
+    return M.profile_target_drift(_stored(M.reference_profile(ref, DRIFT_FEATURES)), new).drop("p_value")
+
+
 # ---------------------------------------------------------------- events: stream twin and latest record
 
 @register("event_window_counts", """
