@@ -16,6 +16,7 @@ from ..functions.features import FeatureStats, engineer_features
 from ..operators import attribute as AT
 from ..operators import clean as C
 from ..operators import models as MD
+from ..operators import tree_attribution as TA
 from ..session import checkpoint
 
 
@@ -34,14 +35,18 @@ def score_requests(model, requests: DataFrame, stats: FeatureStats, features: li
                    seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(results, rejects). Results: id, churn_probability, churn_prediction, base_value,
     top_shap_features (6 entries) - all rounded to 4 places. Ids may repeat: rows are told apart by a
-    key of their own, checkpointed so that it holds on retries."""
+    key of their own, checkpointed so that it holds on retries. Attributions of tree models are exact (boosted
+    trees in log-odds), those of other models sampled with ``perms`` orders a background row."""
     aligned, rejects = prepare_requests(requests, stats, features)
     if background is not None:
         aligned = checkpoint(aligned.withColumn("__row", F.monotonically_increasing_id()))
     scored = MD.score(model, aligned.withColumn(S.LABEL, F.lit(0)))
     out = scored.select(S.ID, "churn_probability", "churn_prediction", *(["__row"] if background is not None else []))
     if background is not None:
-        attr = AT.sampled_shapley(model, aligned, background, features, perms, seed, id_col="__row")
+        if isinstance(model.stages[-1], TA.TREE_MODELS):  # exact; other models by sampled orders
+            attr = TA.tree_shapley(model, aligned, background, features, id_col="__row")
+        else:
+            attr = AT.sampled_shapley(model, aligned, background, features, perms, seed, id_col="__row")
         attr = AT.top_attributions(attr, top).select("__row", "base_value", "top_shap_features")
         out = out.join(attr, "__row", "left")
     else:

@@ -14,6 +14,7 @@ from .operators import attribute as AT
 from .operators import models as MD
 from .operators import neighbors as NB
 from .operators import sampling as SP
+from .operators import tree_attribution as TA
 from .registry import features, register
 from .session import checkpoint
 
@@ -86,12 +87,12 @@ def q_knn(spark, sf):
 
 @register("sampled_attribution")
 def q_attribution(spark, sf):
-    """T20 + K2: sampled Shapley attributions of the forest for every test row (100 background
-    rows, as the original explainer), top 6 rounded."""
+    """T20 + K2: attributions of the forest for every test row against a sample of 100 background
+    rows, as the original explainer; exact over leaf paths. Top 6, rounded."""
     train, test = _split(spark, sf)
     m = _forest(train)
     bg = SP.sample_n(train, 100)
-    attr = AT.sampled_shapley(m, test, bg, MODEL_FEATURES)
+    attr = TA.tree_shapley(m, test, bg, MODEL_FEATURES)
     return AT.top_attributions(attr).select(S.ID, F.round("probability", 4).alias("churn_probability"),
                                             F.round("base_value", 4).alias("base_value"), "top_shap_features")
 
@@ -101,7 +102,7 @@ def q_global_attribution(spark, sf):
     """Mean |attribution| per feature over the test rows, top 8."""
     train, test = _split(spark, sf)
     m = _forest(train)
-    attr = AT.sampled_shapley(m, test, SP.sample_n(train, 100), MODEL_FEATURES)
+    attr = TA.tree_shapley(m, test, SP.sample_n(train, 100), MODEL_FEATURES)
     return AT.global_attribution(attr, 8)
 
 
@@ -116,6 +117,24 @@ def q_linear_attribution(spark, sf):
     return AT.top_attributions(attr).select(S.ID, F.round("base_value", 4).alias("base_value"), "top_shap_features")
 
 
+#: Coefficients of the fixed linear form, by place in MODEL_FEATURES, and its intercept.
+FIXED_COEFS = {f: (k % 4 + 1) * (-1) ** k / 100 for k, f in enumerate(MODEL_FEATURES)}
+FIXED_INTERCEPT = -1.0
+_FIXED_BASE = " + ".join(f"({c!r}) * (SELECT AVG(CAST({f} AS DOUBLE)) FROM features)" for f, c in FIXED_COEFS.items())
+
+
+@register("linear_attribution_fixed", O.with_blocks(O.FEATURES, ", long AS (" + " UNION ALL ".join(
+    f"SELECT {S.ID}, '{f}' AS feature, ({c!r}) * (CAST({f} AS DOUBLE) - (SELECT AVG(CAST({f} AS DOUBLE)) FROM features)) AS v FROM features"
+    for f, c in FIXED_COEFS.items()) + f""")
+  SELECT {S.ID}, feature, ROUND(v, 4) + 0.0 AS shap_value, (SELECT ROUND({FIXED_INTERCEPT} + {_FIXED_BASE}, 4)) AS base_value FROM long"""))
+def q_linear_fixed(spark, sf):
+    """T20 (linear) on fixed coefficients: every row's contribution of every feature."""
+    f = features(spark, sf).select(S.ID, *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])
+    means = f.agg(*[F.avg(c).alias(c) for c in MODEL_FEATURES]).first().asDict()
+    attr = AT.linear_attribution(f, MODEL_FEATURES, list(FIXED_COEFS.values()), FIXED_INTERCEPT, means)
+    return attr.select(S.ID, F.round("base_value", 4).alias("base_value"), F.inline("attributions")).withColumn("shap_value", F.round("shap_value", 4) + 0.0)
+
+
 PAIR_COLS = ["total_day_minutes", "total_eve_minutes", "customer_service_calls", "international_plan"]
 
 
