@@ -41,10 +41,10 @@ def q_forest(spark, sf):
 
 @register("model_metrics_candidates")
 def q_candidates(spark, sf):
-    """T8-T12 + T17 + T19: four candidates, tuned where they have a search space (8 draws, 3 folds), metrics
-    on the test split."""
+    """T8-T12 + T17 + T19: four candidates on the oversampled training rows, tuned where they have a search
+    space (8 draws, 3 folds), metrics on the test split."""
     train, test = _split(spark, sf)
-    train = checkpoint(SP.kfold(train, 3))
+    train = checkpoint(SP.kfold(SP.smote(train, MODEL_FEATURES, k=5).drop("synthetic"), 3))
     out = None
     for i, kind in enumerate(MD.KINDS):
         tuned = kind in MD.SEARCH_SPACE
