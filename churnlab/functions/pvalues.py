@@ -1,14 +1,24 @@
 """p-values for aggregated test statistics.
 
-Spark SQL has no incomplete beta/gamma functions, so these are evaluated by Arrow-batched pandas
-UDFs on *aggregated* tables (one row per feature or test), never on raw rows. The special
-functions are the textbook continued-fraction / series forms (Numerical Recipes ch. 6), run in
-double precision; they stay accurate down to p around 1e-300.
+Spark SQL has no incomplete beta or gamma functions, so these are evaluated by Arrow-batched pandas
+UDFs on *aggregated* tables (one row per feature or test), never on raw rows.
+
+A p-value is the ratio of two integrals of the same unnormalised density, the tail's and the
+whole one, so no gamma function of a large argument is ever taken. The variable is the log of the statistic over
+its most likely value; there the log densities are (a, b half the degrees of freedom, r = a / (a + b))
+
+    chi-squared   G(u) = -a (e^u - 1 - u)
+    F, and t^2    G(u) = a u - (a + b) log(1 + r (e^u - 1))
+
+both concave, smooth, and 0 at their maximum u = 0, at any degrees of freedom. Where G has fallen by
+``DROP`` below its largest value in the range nothing is left to add, and the rest is cut into panels of
+Gauss-Legendre points. Tails are added in logs, so tiny p-values keep their relative accuracy.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -16,98 +26,71 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EPS = 1e-15
-_TINY = 1e-300
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _TINY else _TINY)
-    h = d
-    for m in range(1, 10000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < _EPS:
-            break
-    return h
+DROP, PANELS = 46.0, 40
+_POINTS, _WEIGHTS = np.polynomial.legendre.leggauss(20)
 
 
-def betainc(a: float, b: float, x: float) -> float:
-    """Regularized incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+def _end(g: Callable, top: float, height: float, step: float) -> float:
+    """Where ``g`` is ``DROP`` below ``height``, on the side of ``top`` that the sign of ``step`` names."""
+    near, far = top, top + step
+    while g(far) > height - DROP:
+        near, step = far, 2 * step
+        far = top + step
+    for _ in range(20):  # an end a little too far out does no harm
+        middle = (near + far) / 2
+        near, far = (middle, far) if g(middle) > height - DROP else (near, middle)
+    return far
 
 
-def gammaincc(a: float, x: float) -> float:
-    """Regularized upper incomplete gamma Q(a, x)."""
-    if x <= 0.0:
-        return 1.0
-    gln = math.lgamma(a)
-    if x < a + 1.0:
-        ap, s = a, 1.0 / a
-        delta = s
-        for _ in range(100000):
-            ap += 1.0
-            delta *= x / ap
-            s += delta
-            if abs(delta) < abs(s) * _EPS:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - gln))
-    b = x + 1.0 - a
-    c, d = 1.0 / _TINY, 1.0 / b
-    h = d
-    for i in range(1, 100000):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = d if abs(d) > _TINY else _TINY
-        c = b + an / c
-        c = c if abs(c) > _TINY else _TINY
-        d = 1.0 / d
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
+def _log_integral(g: Callable, low: float | None, width: float) -> float:
+    """log of the integral of exp(g) from ``low`` (None: from minus infinity) up; ``width``: the peak's."""
+    top = 0.0 if low is None or low < 0 else low
+    height = float(g(top))
+    start = _end(g, top, height, -width) if low is None else low if top == low else max(low, _end(g, top, height, -width))
+    stop = _end(g, top, height, width)
+    edges = np.linspace(start, stop, PANELS + 1)
+    half = np.diff(edges) / 2
+    u = (edges[:-1] + half)[:, None] + half[:, None] * _POINTS
+    return height + math.log(float((np.exp(g(u) - height) * _WEIGHTS * half[:, None]).sum()))
+
+
+def _tail(g: Callable, at: float, width: float) -> float:
+    return min(1.0, math.exp(_log_integral(g, at, width) - _log_integral(g, None, width)))
+
+
+def _f_tail(u: float, a: float, b: float) -> float:
+    """P(F > e^u) for 2a and 2b degrees of freedom."""
+    r = a / (a + b)
+
+    def g(v):
+        v = np.asarray(v, np.float64)
+        within = np.log1p(r * np.expm1(np.minimum(v, 600.0)))
+        beyond = v + np.log(r)  # e^v alone counts, and would pass the range of a double
+        return a * v - (a + b) * np.where(v > 600.0, beyond, within)
+
+    return _tail(g, u, math.sqrt((a + b) / a / b))
 
 
 def t_two_sided(t: float, df: float) -> float:
     if t is None or df is None or not np.isfinite(t) or not np.isfinite(df) or df <= 0:
         return float("nan")
-    return betainc(df / 2.0, 0.5, df / (df + t * t))
+    return 1.0 if t == 0 else _f_tail(2 * math.log(abs(t)), 0.5, df / 2)
 
 
 def f_sf(f: float, d1: float, d2: float) -> float:
     if f is None or not np.isfinite(f) or d1 <= 0 or d2 <= 0:
         return float("nan")
-    if f <= 0:
-        return 1.0
-    return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
+    return 1.0 if f <= 0 else _f_tail(math.log(f), d1 / 2, d2 / 2)
 
 
 def chi2_sf(x: float, dof: float) -> float:
     if x is None or not np.isfinite(x) or dof <= 0:
         return float("nan")
-    return gammaincc(dof / 2.0, x / 2.0)
+    if x <= 0:
+        return 1.0
+    a = dof / 2
+    at = math.log1p((x - dof) / dof) if abs(x - dof) < dof / 2 else math.log(x) - math.log(dof)
+    return _tail(lambda u: -a * (np.expm1(u) - u), at, 1 / math.sqrt(a))
 
 
 def ks_two_sample(d: float, n1: float, n2: float) -> float:
