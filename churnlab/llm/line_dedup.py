@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from .common import SPACE, documents, saved, text_of
 
 EDITS, MIN_CHARS = 2, 32
-#: Lines with so many copies take part in the join by their first occurrence only (beside it, less is cheaper).
+#: Lines with so many copies always take part in the join by their first occurrence only; those with fewer
+#: do so where the list of all repeated lines can be broadcast. Results are the same either way.
 HOT = 64
 SMALL = 1_000_000
 
@@ -120,7 +121,8 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
 
 def near_links(lines: DataFrame, known: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Pairs (a, b) of line hashes within ``edits`` edits."""
-    hot = known.filter(F.col("n") >= HOT).select(F.col("h").alias("hot"), F.col("first").alias("hot_first"))
+    repeated = lambda n: known.filter(F.col("n") >= n).select(F.col("h").alias("hot"), F.col("first").alias("hot_first"))
+    hot = repeated(2) if repeated(2).count() <= SMALL else repeated(HOT)
     if hot.count() <= SMALL:
         hot = F.broadcast(hot)
     own = lines.filter(F.length("line") >= min_chars).join(hot, F.col("h") == F.col("hot"), "left").filter("hot IS NULL OR ord = hot_first")
