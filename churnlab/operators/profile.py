@@ -224,13 +224,17 @@ def box_summary(df: DataFrame, col: str, by: str = S.LABEL) -> DataFrame:
                                  ["q1", "median", "q3", "mean", "lower_whisker", "upper_whisker"]]).orderBy(by)
 
 
+#: Rows of statistics that are broadcast.
+SMALL = 100_000
+
+
 def kde(df: DataFrame, cols: list[str], by: str = S.LABEL, grid: int = 100) -> DataFrame:
     """Gaussian density per (feature, class) on an equal grid, Scott bandwidth n^(-1/5)*sd.
 
-    The data are first reduced to distinct (feature, class, value, count) rows (partial
-    aggregation), so the work is grid x distinct values, never grid x rows. The grid is generated
-    per (feature, class) from its min/max with ``sequence`` + ``explode`` inside Spark; the join
-    is a broadcast equi-join on (feature, class) against that small grid table.
+    The data are first reduced to distinct (feature, class, value, count) rows; per (feature, class) the
+    terms of all grid points are then added side by side in one aggregate (combined before the shuffle), so
+    no row per value and grid point is ever made. The statistics (one row per feature and class) are broadcast if
+    they are counted to be few, so values aren't shuffled onto few keys. A single value, or all values equal, has no density.
     """
     long = df.select(F.col(by).alias("cls"), *[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot("cls", cols, "feature", "value").where(F.col("value").isNotNull())
@@ -238,20 +242,20 @@ def kde(df: DataFrame, cols: list[str], by: str = S.LABEL, grid: int = 100) -> D
     stats = long.groupBy("feature", "cls").agg(
         F.count(F.lit(1)).alias("n"), F.stddev_samp("value").alias("sd"),
         F.min("value").alias("lo"), F.max("value").alias("hi"))
-    stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    g = stats.select("feature", "cls", "n", "bw",
-                     F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"), "lo", "hi")
-    g = g.withColumn("x", F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("i") / F.lit(grid - 1))
-    # the grid holds features x classes x grid rows (bounded by parameters): broadcast it, so the
-    # distinct-value table is never shuffled onto the few (feature, class) keys
-    pairs = distinct.join(F.broadcast(g), ["feature", "cls"])
-    z = (F.col("x") - F.col("value")) / F.col("bw")
-    contrib = F.col("w") * F.exp(F.lit(-0.5) * z * z)
-    out = pairs.where(F.col("bw") > 0).groupBy("feature", "cls", "i", "x").agg(
-        F.sum(contrib).alias("s"), F.first("n").alias("n"), F.first("bw").alias("bw"))
-    dens = F.col("s") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
-    return out.select("feature", F.col("cls").alias(by), "i", F.round("x", 6).alias("x"),
-                      F.round(dens, 9).alias("density")).orderBy("feature", by, "i")
+    stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).where("bw > 0")
+    stats = checkpoint(stats)  # one row per feature and class; counted before it is broadcast
+    few = F.broadcast if stats.count() <= SMALL else lambda df: df
+    keyed = stats.select(F.col("feature").alias("f"), F.col("cls").alias("c"), "n", "bw", "lo", "hi")
+    x = lambda i: F.col("lo") + (F.col("hi") - F.col("lo")) * F.lit(i) / F.lit(grid - 1)
+    z = lambda i: (x(i) - F.col("value")) / F.col("bw")
+    both = distinct.join(few(keyed), (F.col("feature") == F.col("f")) & F.col("cls").eqNullSafe(F.col("c")))
+    sums = both.groupBy("feature", "cls").agg(
+        *[F.sum(F.col("w") * F.exp(F.lit(-0.5) * z(i) * z(i))).alias(f"s{i}") for i in range(grid)],
+        *[F.first(c).alias(c) for c in ("n", "bw", "lo", "hi")])
+    points = F.array(*[F.struct(F.lit(i).alias("i"), F.round(x(i), 6).alias("x"),
+                                F.round(F.col(f"s{i}") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi))), 9).alias("density"))
+                       for i in range(grid)])
+    return sums.select("feature", F.col("cls").alias(by), F.inline(points)).orderBy("feature", by, "i")
 
 
 def pair_table(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -7,6 +7,10 @@ p-values are evaluated afterwards on the aggregated rows only (``functions.pvalu
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,23 +27,76 @@ def _long(df: DataFrame, cols: list[str], label: str = S.LABEL) -> DataFrame:
             .unpivot("y", cols, "feature", "value"))
 
 
+def _cross_products(x: np.ndarray, here: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of every pair of columns, over the rows that have both: n, mean of the first and the second, their sums of
+    squared deviations and of products of deviations. ``here`` tells values from NULLs."""
+    m = here.astype(np.float64)
+    center = np.divide(np.where(here, x, 0.0).sum(axis=0), m.sum(axis=0), out=np.zeros(x.shape[1]), where=here.any(axis=0))
+    d = np.where(here, x - center, 0.0)
+    n, s, q, p = m.T @ m, d.T @ m, (d * d).T @ m, d.T @ d
+    some = np.maximum(n, 1.0)
+    mean = center[:, None] + s / some
+    return n, mean, mean.T, q - s * s / some, (q - s * s / some).T, p - s * s.T / some
+
+
+def _merged(a: tuple | None, b: tuple) -> tuple:
+    """The cross products of two sets of rows together."""
+    if a is None:
+        return b
+    n = a[0] + b[0]
+    share = np.divide(a[0] * b[0], n, out=np.zeros_like(n), where=n > 0)
+    part = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    dx, dy = b[1] - a[1], b[2] - a[2]
+    return (n, a[1] + dx * part, a[2] + dy * part, a[3] + b[3] + dx * dx * share, a[4] + b[4] + dy * dy * share,
+            a[5] + b[5] + dx * dy * share)
+
+
+def cross_products(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(k, n, mx, my, sxx, syy, sxy) of every pair a < b (k by position), one row per pair and task.
+
+    A task multiplies each Arrow batch's block of columns with itself and adds the products up, so a row of
+    the table is read once, whatever the number of pairs, and only pairs x tasks rows leave.
+    """
+    upper = np.triu_indices(len(cols), 1)
+    names = ["n", "mx", "my", "sxx", "syy", "sxy"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            here = np.column_stack([batch.column(k).is_valid().to_numpy(zero_copy_only=False) for k in range(len(cols))])
+            x = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(len(cols))]).astype(np.float64)
+            total = _merged(total, _cross_products(np.where(here, x, 0.0), here))
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(upper[0]), dtype=np.int32)), *(pa.array(t[upper]) for t in total)], ["k", *names])
+
+    wide = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    return wide.mapInArrow(run, "k int, " + ", ".join(f"{c} double" for c in names))
+
+
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Q1: pairwise-complete Pearson correlation for every pair a < b (by position), long form.
 
-    Each row is expanded to one (pair, x, y) entry per pair and a single grouped ``corr`` runs
-    over them (partial aggregation, one group per pair). A single aggregate with one ``corr`` per
-    pair grows past the code-generation limits as the pair count grows quadratically and is
-    several times slower. ``corr`` skips entries with a NULL on either side.
+    The tasks' cross products are merged per pair: their sums, and what the tasks' means differ from the pair's
+    mean. NULL on either side leaves the row out of the pair; a NaN makes its column's correlations NaN, a
+    column of one value, or a pair without rows, NULL.
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    arr = F.array(*[F.struct(F.lit(i).alias("k"), F.col(a).cast("double").alias("x"),
-                             F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)])
-    g = df.select(F.explode(arr).alias("e")).select("e.*").groupBy("k").agg(F.corr("x", "y").alias("corr"))
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double")
+    pair = Window.partitionBy("k")  # one row per task
+    parts = cross_products(df, cols)
+    mean = lambda c: F.try_divide(F.sum(F.col(c) * F.col("n")).over(pair), F.sum("n").over(pair))
+    parts = parts.withColumns({"dx": F.col("mx") - mean("mx"), "dy": F.col("my") - mean("my")})
+    total = lambda s, a, b: F.sum(F.col(s) + F.col("n") * F.col(a) * F.col(b)).alias(s)
+    g = parts.groupBy("k").agg(total("sxx", "dx", "dx"), total("syy", "dy", "dy"), total("sxy", "dx", "dy"))
+    whole = F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy"))
     left = F.array(*[F.lit(a) for a, _ in pairs])
     right = F.array(*[F.lit(b) for _, b in pairs])
     return g.select(F.element_at(left, F.col("k") + 1).alias("feature_a"),
                     F.element_at(right, F.col("k") + 1).alias("feature_b"),
-                    F.round("corr", 6).alias("corr"))
+                    F.round(F.try_divide(F.col("sxy"), whole), 6).alias("corr"))
 
 
 def top_correlated(df: DataFrame, cols: list[str], label: str = S.LABEL, k: int = 10) -> DataFrame:
