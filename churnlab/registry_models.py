@@ -135,6 +135,21 @@ def q_linear_fixed(spark, sf):
     return attr.select(S.ID, F.round("base_value", 4).alias("base_value"), F.inline("attributions")).withColumn("shap_value", F.round("shap_value", 4) + 0.0)
 
 
+@register("linear_top_attributions", O.with_blocks(O.FEATURES, ", long AS (" + " UNION ALL ".join(
+    f"SELECT {S.ID}, '{f}' AS feature, ({c!r}) * (CAST({f} AS DOUBLE) - (SELECT AVG(CAST({f} AS DOUBLE)) FROM features)) AS v FROM features"
+    for f, c in FIXED_COEFS.items()) + f""")
+  SELECT {S.ID}, CAST(ROW_NUMBER() OVER w AS INTEGER) AS place, feature, ROUND(v, 4) + 0.0 AS shap_value FROM long
+  WINDOW w AS (PARTITION BY {S.ID} ORDER BY ABS(v) DESC, feature) QUALIFY ROW_NUMBER() OVER w <= 6"""))
+def q_linear_top(spark, sf):
+    """K2 + T20 (linear): the six largest contributions of every row, in order."""
+    from .operators.profile import top_k_per_row
+    f = features(spark, sf).select(S.ID, *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])
+    means = f.agg(*[F.avg(c).alias(c) for c in MODEL_FEATURES]).first().asDict()
+    attr = AT.linear_attribution(f, MODEL_FEATURES, list(FIXED_COEFS.values()), FIXED_INTERCEPT, means)
+    top = attr.select(S.ID, F.posexplode(top_k_per_row(F.col("attributions"), 6)).alias("p", "a"))
+    return top.select(S.ID, (F.col("p") + 1).alias("place"), "a.feature", (F.round("a.shap_value", 4) + 0.0).alias("shap_value"))
+
+
 PAIR_COLS = ["total_day_minutes", "total_eve_minutes", "customer_service_calls", "international_plan"]
 
 

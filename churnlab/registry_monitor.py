@@ -323,6 +323,50 @@ def q_target_drift_profile(spark, sf):
     return M.profile_target_drift(_stored(M.reference_profile(ref, DRIFT_FEATURES)), new).drop("p_value")
 
 
+# ---------------------------------------------------------------- training rows, cooldown, selected features
+
+_U2 = [*DRIFT_FEATURES, S.LABEL]
+
+
+@register("merged_training_rows", W_(O.FEATURES, f"""
+  SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _U2)} FROM features WHERE account_length >= 1800
+  UNION ALL SELECT {', '.join(f'CAST({c} AS DOUBLE)' for c in _U2)} FROM features WHERE NOT (account_length >= 1800)"""))
+def q_merged_training_rows(spark, sf):
+    """The selected columns of the reference and of the landed rows."""
+    ref, new = _drift_split(spark, sf, "drift")
+    return P.merge_training_data(ref, new, DRIFT_FEATURES).select(*[F.col(c).cast("double").alias(c) for c in _U2])
+
+
+@register("cooldown_gate_orders", """
+  SELECT strftime(MAX(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS last_retrain,
+    CAST(FLOOR((epoch(TIMESTAMP '1999-01-03 11:00:00') - epoch(CAST(MAX(CAST(o_orderdate AS DATE)) AS TIMESTAMP))) / 86400) AS INTEGER) AS days_since,
+    FLOOR((epoch(TIMESTAMP '1999-01-03 11:00:00') - epoch(CAST(MAX(CAST(o_orderdate AS DATE)) AS TIMESTAMP))) / 86400) >= 30 AS allowed FROM orders""")
+def q_cooldown(spark, sf):
+    """Whole days since the last record of a history, against a cooldown of 30 days."""
+    history = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderdate").cast("date").cast("timestamp").alias("timestamp"))
+    now = F.lit("1999-01-03 11:00:00").cast("timestamp")
+    return M.cooldown_gate(history, 30, now).withColumn("last_retrain", F.date_format("last_retrain", "yyyy-MM-dd"))
+
+
+_NEW = sorted(S.ENGINEERED)
+
+
+@register("selected_engineered", W_(O.FEATURES, f"""
+  SELECT customer_id, {', '.join(f'ROUND(CAST({c} AS DOUBLE), 4) AS {c}' for c in _NEW)}, churn FROM features"""))
+def q_selected(spark, sf):
+    """Padded names stripped, required columns checked, the columns that feature engineering
+    adds selected with id and label, and rounded."""
+    from .functions.features import engineer_features, new_columns
+    from .operators import clean as C
+    before = cleaned(spark, sf)
+    before = C.normalize_names(before.toDF(*[f" {c} " for c in before.columns]))
+    C.require_columns(before, [S.ID, S.LABEL, *S.NUMERIC_INPUTS])
+    after = engineer_features(before)
+    added = new_columns(before, after)
+    chosen = C.select_features_label(after, added, keep=[S.ID])
+    return C.round_outputs(chosen.withColumns({c: F.col(c).cast("double") for c in added}), added)
+
+
 # ---------------------------------------------------------------- events: stream twin and latest record
 
 @register("event_window_counts", """
