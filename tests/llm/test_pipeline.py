@@ -35,9 +35,10 @@ NEAR = " ".join(f"word{k}" for k in range(99)) + " other"
 def test_rows_of_one_id_with_two_texts_are_told_apart(spark):
     docs = docs_frame(spark, [(3, "bb"), (5, "aaaa only here"), (5, "bb"), (7, "same"), (7, "same"), (None, "same"), (8, None), (8, ""), (None, "alone"),
                               (None, "alone")])
-    assert rows_of(exact_dedup.drop_exact_duplicates(docs), "doc_id", "text") == sorted(
-        [(3, "bb"), (5, "aaaa only here"), (7, "same"), (8, None), (None, "alone")], key=repr) or rows_of(
-        exact_dedup.drop_exact_duplicates(docs), "doc_id", "text") == sorted([(3, "bb"), (5, "aaaa only here"), (7, "same"), (8, ""), (None, "alone")], key=repr)
+    left = rows_of(exact_dedup.drop_exact_duplicates(docs), "doc_id", "text")
+    empty = [r for r in left if r[0] == 8]   # a null and an empty text are equal
+    assert len(empty) == 1 and not empty[0][1]
+    assert [r for r in left if r[0] != 8] == sorted([(3, "bb"), (5, "aaaa only here"), (7, "same"), (None, "alone")], key=repr)
     docs = docs_frame(spark, [(9, LONG), (4, NEAR), (4, "alone under this id but not alone in it"), (None, LONG), (11, None), (12, ""), (2, "few words"), (2, "few words")])
     assert rows_of(near_dedup.drop_near_duplicates(docs, percent=80), "doc_id", "text") == sorted(
         [(4, NEAR), (4, "alone under this id but not alone in it"), (None, LONG), (11, None), (12, ""), (2, "few words")], key=repr)
