@@ -15,7 +15,7 @@ from .operators import models as MD
 from .operators import neighbors as NB
 from .operators import sampling as SP
 from .operators import tree_attribution as TA
-from .registry import features, register
+from .registry import cleaned, features, register
 from .session import checkpoint
 
 # Model inputs: numeric inputs without charges, plus the engineered features (fixed list).
@@ -85,6 +85,27 @@ def q_knn(spark, sf):
     return NB.knn(train.where(F.col(S.LABEL) == 1), MODEL_FEATURES, 5)
 
 
+# Numeric inputs without charges hold whole numbers, so distances and ties are the same in SQL.
+PLAIN_FEATURES = [c for c in S.NUMERIC_INPUTS if "charge" not in c]
+_SQUARES = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in PLAIN_FEATURES)
+
+
+@register("neighbors_modkey", O.with_blocks(O.CLEANED, f"""
+  , r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY churn ORDER BY (customer_id * 7919) % 100003, customer_id) AS rk,
+                 COUNT(*) OVER (PARTITION BY churn) AS n FROM cleaned),
+  m AS (SELECT * FROM r WHERE rk > ROUND(n * 0.2) AND churn = 1),
+  p AS (SELECT a.customer_id, b.customer_id AS nn_id, SQRT(CAST({_SQUARES} AS DOUBLE)) AS distance
+        FROM m a JOIN m b ON a.customer_id <> b.customer_id),
+  k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY distance, nn_id) AS nn_rank FROM p)
+  SELECT customer_id, CAST(nn_rank AS INTEGER) AS nn_rank, nn_id, ROUND(distance, 6) AS distance FROM k WHERE nn_rank <= 5"""))
+def q_knn_modkey(spark, sf):
+    """J4 on the usage columns of the minority rows of the SQL-expressible split."""
+    c = cleaned(spark, sf).select(S.ID, *PLAIN_FEATURES, S.LABEL)
+    train = SP.stratified_split(c, 0.2, order_key=SP.mod_key()).where(F.col("split") == "train")
+    near = NB.knn(train.where(F.col(S.LABEL) == 1), PLAIN_FEATURES, 5)
+    return near.withColumn("distance", F.round("distance", 6))
+
+
 @register("sampled_attribution")
 def q_attribution(spark, sf):
     """T20 + K2: attributions of the forest for every test row against a sample of 100 background

@@ -54,7 +54,7 @@ def test_knn_exact_with_ties(spark):
     # a hot group of identical points plus spread points: ties at distance 0 must not break it
     pts = [(i, 0.0, 0.0) for i in range(30)] + [(100 + i, float(i), float(i % 3)) for i in range(40)]
     df = spark.createDataFrame(pts, "customer_id long, a double, b double")
-    got = NB.knn(df, ["a", "b"], 4, n_axes=1, window=2).collect()
+    got = NB.knn(df, ["a", "b"], 4, block=8).collect()
     bf = knn_brute_force(df, ["a", "b"], 4)
     by = {}
     for r in got:
