@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.features import drop_matching, flag  # noqa: F401  (P1 lives with the features)
-from .ordered import column_quantiles, exact_quantiles_long
+from ..session import checkpoint
+from .ordered import column_quantiles, exact_quantiles_long, prefix_sums
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -313,6 +315,36 @@ def one_hot(df: DataFrame, col: str = "state", levels: list[str] | None = None,
     return df.withColumns(cols).drop(col)
 
 
+def level_table(df: DataFrame, col: str = "state") -> DataFrame:
+    """C8 fit, any number of levels: (level, pos), distinct non-NULL levels in order from 0, numbered by running sums."""
+    levels = df.where(F.col(col).isNotNull()).select(F.col(col).alias("level")).distinct().withColumn("pos", F.lit(1).cast("bigint"))
+    return checkpoint(prefix_sums(levels, [], "level", ["pos"], prefix="at_").select("level", (F.col("at_pos") - 1).alias("pos")))
+
+
+def one_hot_vector(df: DataFrame, col: str = "state", levels: DataFrame | None = None, drop_first: bool = True,
+                   out: str | None = None) -> DataFrame:
+    """C8 wide form: one sparse vector ``<col>_onehot`` in place of a column per level; source dropped.
+
+    ``levels`` is a ``level_table``, joined to the rows; nothing about the levels but their number reaches the driver.
+    Vector place i is level i, or i + 1 with the first one dropped. NULL, an unseen and the dropped
+    level give an empty vector. Tables without levels, or with the dropped one alone, get vectors of size 1 that stay empty.
+    """
+    levels = level_table(df, col) if levels is None else levels
+    out = out or f"{col}_onehot"
+    n = levels.count()
+    size = max(n - 1 if drop_first else n, 1)
+    first = 1 if drop_first else 0
+    if size >= 2 ** 31 - 1:
+        raise ValueError(f"{col} has more levels than a vector has places")
+    lookup = levels.where(F.col("pos") >= first).select(F.col("level").alias("__level"), (F.col("pos") - first).alias("__pos"))
+    placed = df.join(lookup, F.col(col) == F.col("__level"), "left")
+    # the encoder drops its last category: place ``size`` means none
+    placed = placed.withColumn("__pos", F.coalesce("__pos", F.lit(size)).cast("double")).drop("__level", col)
+    ends = df.sparkSession.range(1).select(F.lit(float(size)).alias("__pos"))
+    encoder = OneHotEncoder(inputCols=["__pos"], outputCols=[out], dropLast=True)
+    return encoder.fit(ends).transform(placed).drop("__pos")
+
+
 @dataclass(frozen=True)
 class IqrBounds:
     bounds: dict  # column -> (low, high)

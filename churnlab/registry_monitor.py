@@ -20,6 +20,7 @@ from .plans import monitoring as M
 from .registry import cleaned, features, register
 from .registry_more import DRIFT_FEATURES, _drift_split
 from .sources import fixture as FX
+from .streaming.drift import window_drift
 from .streaming.streams import window_counts
 
 W_ = O.with_blocks
@@ -377,6 +378,36 @@ def q_event_windows(spark, sf):
     return window_counts(spark.read.parquet(f"{sf}/events.parquet"))
 
 
+_EVENT_FEATURES = ["value", "user_id"]
+_EVENT_REFERENCE_END = "2024-01-11 00:00:00"   # the first ten days are the reference
+
+
+@register("window_drift_events", f"""
+  WITH long AS (SELECT ts, 'value' AS feature, CAST(value AS DOUBLE) AS value FROM events WHERE value IS NOT NULL
+                UNION ALL SELECT ts, 'user_id', CAST(user_id AS DOUBLE) FROM events WHERE user_id IS NOT NULL),
+  ref AS (SELECT feature, value, COUNT(*) AS c FROM long WHERE ts < TIMESTAMP '{_EVENT_REFERENCE_END}' GROUP BY ALL),
+  day AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, feature, value, COUNT(*) AS c FROM long
+          WHERE ts >= TIMESTAMP '{_EVENT_REFERENCE_END}' GROUP BY ALL),
+  grid AS (SELECT w.window_start, v.feature, v.value FROM (SELECT DISTINCT window_start, feature FROM day) w
+           JOIN (SELECT feature, value FROM ref UNION SELECT feature, value FROM day) v USING (feature)),
+  cum AS (SELECT g.window_start, g.feature,
+            SUM(COALESCE(r.c, 0)) OVER o AS ca, SUM(COALESCE(d.c, 0)) OVER o AS cb,
+            SUM(COALESCE(r.c, 0)) OVER a AS na, SUM(COALESCE(d.c, 0)) OVER a AS nb
+          FROM grid g LEFT JOIN ref r USING (feature, value) LEFT JOIN day d USING (window_start, feature, value)
+          WINDOW o AS (PARTITION BY g.window_start, g.feature ORDER BY g.value), a AS (PARTITION BY g.window_start, g.feature)),
+  ks AS (SELECT window_start, feature, MAX(ABS(ca / na - cb / nb)) AS d, CAST(MAX(na) AS BIGINT) AS n_ref, CAST(MAX(nb) AS BIGINT) AS n_new
+         FROM cum GROUP BY ALL),
+  p AS (SELECT *, {_ks_p_sql('d', 'n_ref', 'n_new')} AS p FROM ks)
+  SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, feature, ROUND(d, 6) AS ks_statistic, n_ref, n_new,
+         ROUND(p, 6) AS p_value, p < 0.05 AS drift_detected FROM p""")
+def q_window_drift(spark, sf):
+    """X2 + M3: every day after the reference days against their profile."""
+    events = spark.read.parquet(f"{sf}/events.parquet").select("ts", *_EVENT_FEATURES)
+    early = F.col("ts") < F.lit(_EVENT_REFERENCE_END).cast(events.schema["ts"].dataType)
+    profile = W.distinct_counts(events.where(early), _EVENT_FEATURES).withColumn("kind", F.lit("feature"))
+    return window_drift(profile, events.where(~early), _EVENT_FEATURES).withColumn("p_value", F.round("p_value", 6))
+
+
 @register("latest_event", """
   SELECT event_id, ts, user_id, event_type, value, props FROM events ORDER BY ts DESC, event_id DESC LIMIT 1""")
 def q_latest_event(spark, sf):

@@ -6,6 +6,7 @@ engineered features, the dirty variant, or the drift / no-drift splits of FIXTUR
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from . import oracle_sql as O
@@ -116,6 +117,15 @@ def q_one_hot(spark, sf):
     return long.where(F.col("value") == 1)
 
 
+@register("one_hot_vector_state", W_(O.CLEANED, """
+  SELECT customer_id, CAST(DENSE_RANK() OVER (ORDER BY state) - 2 AS BIGINT) AS place,
+         CAST((SELECT COUNT(DISTINCT state) - 1 FROM cleaned) AS BIGINT) AS size FROM cleaned"""))
+def q_one_hot_vector(spark, sf):
+    """C8, wide form: the place of the one in each row's vector (-1: none)."""
+    enc = C.one_hot_vector(cleaned(spark, sf), "state").withColumn("v", vector_to_array("state_onehot"))
+    return enc.select(S.ID, (F.array_position("v", 1.0) - 1).cast("bigint").alias("place"), F.size("v").cast("bigint").alias("size"))
+
+
 @register("clip_iqr_minutes", W_(O.CLEANED, f"""
   , q AS (SELECT {', '.join(f'quantile_cont({c}, [0.25, 0.75]) AS q_{c}' for c in S.MINUTE_COLS)} FROM cleaned)
   SELECT customer_id, {', '.join(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +25,10 @@ def _display_schema(schema: T.StructType) -> T.StructType:
 def read_customers(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None) -> DataFrame:
     """Customer file(s) with the original headers, renamed to internal names.
 
-    CSV is read with an explicit schema (``enforceSchema=false`` checks headers by name). A row
-    identity is added from the file path and position within the file, which is stable on retry.
+    CSV is read with an explicit schema (``enforceSchema=false`` checks headers by name). Without an
+    id column, rows get one from the storage alone, so it is the same on any retry and under any split size:
+    Parquet rows by file and position in the file; CSV rows, which Spark gives no position, by file,
+    content and number among the file's rows of equal content (``numbered_rows``).
     """
     if fmt == "parquet":
         df = spark.read.parquet(path)
@@ -33,10 +36,26 @@ def read_customers(spark: SparkSession, path: str, fmt: str = "csv", schema: T.S
         sch = _display_schema(schema or S.RAW_SCHEMA)
         df = (spark.read.option("header", True).option("enforceSchema", False).schema(sch).csv(path))
     back = {v: k for k, v in S.DISPLAY_NAMES.items()}
-    df = df.toDF(*[back.get(c.strip(), c.strip()) for c in df.columns])
-    if S.ID not in df.columns:
-        df = df.withColumn(S.ID, F.xxhash64(F.col("_metadata.file_path"), F.monotonically_increasing_id()))
-    return df
+    names = [back.get(c.strip(), c.strip()) for c in df.columns]
+    if S.ID in names:
+        return df.toDF(*names)
+    if fmt == "parquet":
+        return df.withColumn(S.ID, F.xxhash64("_metadata.file_path", "_metadata.row_index")).toDF(*names, S.ID)
+    return numbered_rows(df.withColumn("__file", F.col("_metadata.file_path")).toDF(*names, "__file"), "__file")
+
+
+def numbered_rows(df: DataFrame, file_col: str, id_col: str = S.ID) -> DataFrame:
+    """Rows with an id hashed from the file, the values and a number from 1 among equal rows; ``file_col`` is dropped.
+
+    Equal rows are counted (map-side first, so a row repeated through the whole file is one record in the
+    shuffle) and given back as often as they occur: which of them gets which number makes no difference.
+    """
+    cols = [c for c in df.columns if c != file_col]
+    counted = df.groupBy(file_col, *cols).agg(F.count(F.lit(1)).alias("__n"))
+    each = counted.withColumn("__at", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"))))
+    # the hash passes over NULLs, so their places are part of it
+    nulls = F.concat_ws("", *[F.col(c).isNull().cast("int").cast("string") for c in cols])
+    return each.select(*cols, F.xxhash64(file_col, *cols, nulls, "__at").alias(id_col))
 
 
 def validate_sources(spark: SparkSession, paths: list[str], fmt: str = "parquet") -> DataFrame:
@@ -63,29 +82,66 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.parquet(path)
 
 
+MANIFEST_SCHEMA = "batch_ts string, columns map<string,string>, rows bigint, files bigint, landed_at timestamp"
+
+
+def _manifest(base: str) -> str:
+    return base.rstrip("/") + "_manifest"
+
+
 def write_batch(df: DataFrame, base: str, ts: str | None = None) -> str:
-    """Land a timestamped production batch under ``batch_ts=<ts>`` (partition pruning later)."""
+    """Land a timestamped production batch in the folder ``batch_ts=<ts>``, then add it to the manifest.
+
+    The manifest (columns with their types, rows, files) is written after the data: a batch that broke off
+    has no row there and is not read. Landing a batch again replaces it.
+    """
     ts = ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
-    df.withColumn("batch_ts", F.lit(ts)).write.mode("append").partitionBy("batch_ts").parquet(base)
+    spark, folder = df.sparkSession, f"{base.rstrip('/')}/batch_ts={ts}"
+    df.write.mode("overwrite").parquet(folder)
+    landed = spark.read.schema(df.schema).parquet(folder)
+    columns = F.create_map(*[F.lit(v) for f in df.schema.fields for v in (f.name, f.dataType.simpleString())])
+    # rows come from the footers: a count reads no column
+    row = landed.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("_metadata.file_path").alias("files"))
+    row.select(F.lit(ts).alias("batch_ts"), columns.alias("columns"), "rows", "files", F.current_timestamp().alias("landed_at")) \
+        .write.mode("append").parquet(_manifest(base))
     return ts
 
 
+def read_manifest(spark: SparkSession, base: str) -> DataFrame:
+    """The newest manifest row of every landed batch; no rows where nothing has landed."""
+    try:
+        rows = spark.read.schema(MANIFEST_SCHEMA).parquet(_manifest(base))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    cols = rows.columns
+    return rows.groupBy("batch_ts").agg(F.max_by(F.struct(*cols), F.struct("landed_at", "rows")).alias("r")).select("r.*")
+
+
 def read_batches(spark: SparkSession, base: str, required: list[str], batches: list[str] | None = None) -> DataFrame:
-    """All landed batches that carry every required column, as one table.
+    """All landed batches that carry every required column, as one table of these and ``batch_ts``.
 
-    Batches are partitions of one Parquet dataset. A batch conforms by its column names, read from
-    its files' footers (one schema per batch, no data), so a column of NULLs is no reason to drop it.
+    A batch conforms by its columns in the manifest, so a column of NULLs is no reason to drop it and no
+    file is opened to decide. Batches whose required columns have other types are read apart and brought to a
+    common type; the driver gets one row per distinct set of types, none per batch. Which folders to scan
+    follows from a join with the manifest on the partition column. A batch without a manifest row is not read.
     """
-    df = spark.read.option("mergeSchema", True).parquet(base)
+    manifest = read_manifest(spark, base)
     if batches is not None:
-        df = df.where(F.col("batch_ts").isin(batches))
-    have = [c for c in required if c in df.columns]
-    if len(have) < len(required):
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.DoubleType()) for c in required]))
-    landed = [r[0] for r in df.select(F.col("batch_ts").cast("string")).distinct().collect()]
-    names = {b: set(spark.read.parquet(f"{base}/batch_ts={b}").columns) for b in landed}
-    ok = [b for b in landed if names[b].issuperset(required)]
-    return df.where(F.col("batch_ts").cast("string").isin(ok)).select(*required, "batch_ts")
+        manifest = manifest.where(F.col("batch_ts").isin(batches))
+    has_all = F.forall(F.array(*[F.lit(c) for c in required]), lambda c: F.map_contains_key("columns", c))
+    fit = manifest.where(has_all).select("batch_ts", F.array(*[F.element_at("columns", F.lit(c)) for c in required]).alias("types"))
+    kinds = [tuple(r["types"]) for r in fit.select("types").distinct().orderBy("types").collect()]
+    out = None
+    for kind in kinds:
+        schema = ", ".join(f"`{c}` {t}" for c, t in zip(required, kind)) + ", batch_ts string"
+        these = fit.where(F.col("types") == F.array(*[F.lit(t) for t in kind])).select("batch_ts")
+        part = spark.read.schema(schema).parquet(base).join(these, "batch_ts", "left_semi").select(*required, "batch_ts")
+        out = part if out is None else out.union(part)
+    if out is None:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.DoubleType()) for c in required] + [T.StructField("batch_ts", T.StringType())]))
+    return out
 
 
 def write_report(df: DataFrame, path: str) -> None:
