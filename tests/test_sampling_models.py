@@ -151,3 +151,12 @@ def test_neighbours_and_smote_skip_points_with_null_features(spark):
     assert {r["customer_id"] for r in near} == set(range(8)) and all(r["distance"] is not None and r["nn_id"] != 100 for r in near)
     both = sampling.smote(df, ["a", "b"], label="label", id_col="customer_id").groupBy("label").count().collect()
     assert {r["label"]: r["count"] for r in both} == {0: 16, 1: 16}
+
+
+def test_elimination_reads_rows_spread_over_all_cores(spark, monkeypatch):
+    parts = []
+    monkeypatch.setattr(MD, "fit", lambda df, *_: parts.append((df.rdd.getNumPartitions(), df.count())))
+    monkeypatch.setattr(MD, "feature_importance", lambda m, features: [(f, float(i)) for i, f in enumerate(features)])
+    df = spark.range(0, 200, 1, 1).selectExpr("id % 7 AS a", "id % 5 AS b", "id % 3 AS c", f"CAST(id % 2 AS int) AS {S.LABEL}")
+    assert MD.rfe(df, ["a", "b", "c"], 1, 1, 5) == [("a", 3), ("b", 2), ("c", 1)]
+    assert parts == [(spark.sparkContext.defaultParallelism, 200)] * 2
